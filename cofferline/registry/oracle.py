@@ -127,7 +127,7 @@ _BRAND_PAIRS = (
 )
 _PORTFOLIO_PAIRS = "SELECT DISTINCT owner, item FROM portfolio"
 
-_BRANDS = "WITH " + _itemsets(_BRAND_PAIRS, BRAND_SUPPORT, 5)
+_BRANDS = "WITH " + _itemsets(_BRAND_PAIRS, BRAND_SUPPORT, 4)
 _BRANDS_AND_RULES = _BRANDS + _rules(BRAND_CONFIDENCE)
 
 
@@ -414,7 +414,7 @@ FROM rules""",
 SELECT min_support, CAST(count(*) AS BIGINT) AS n_itemsets
 FROM itemsets JOIN {_values(BRAND_SUPPORTS, "min_support")}
   ON freq >= min_support * (SELECT n FROM total) GROUP BY min_support""",
-    "rule_grid": f"""{"WITH " + _itemsets(_BRAND_PAIRS, BRAND_SUPPORT, 5) + _rules(min(BRAND_CONFIDENCES))}
+    "rule_grid": f"""{"WITH " + _itemsets(_BRAND_PAIRS, BRAND_SUPPORT, 4) + _rules(min(BRAND_CONFIDENCES))}
 SELECT min_support, min_confidence, CAST(count(*) AS BIGINT) AS n_rules
 FROM rules JOIN {_values(BRAND_SUPPORTS, "min_support")} ON support >= min_support
   JOIN {_values(BRAND_CONFIDENCES, "min_confidence")} ON confidence >= min_confidence
@@ -424,7 +424,7 @@ GROUP BY min_support, min_confidence""",
     + ","
     + _itemsets(
         "SELECT owner, item FROM all_pairs JOIN split USING (owner) WHERE split = 'train'",
-        BRAND_SUPPORT, 5,
+        BRAND_SUPPORT, 4,
     )
     + """
 SELECT array_to_string(items, '|') AS items, freq, CAST((SELECT n FROM total) AS INTEGER) AS n_train
