@@ -63,44 +63,57 @@ def wide_matrix(cells: DataFrame, items: list[str], owner: str = "owner") -> Dat
 
 def centre(cells: DataFrame, means: DataFrame, owner: str = "owner") -> DataFrame:
     """Ratio minus the owner's mean; cells that become zero count as not held and are left out."""
-    return (
-        cells.join(means, owner)
-        .withColumn("centred", F.col("ratio") - F.col("mean_ratio"))
-        .filter(F.abs("centred") >= ZERO)
-        .select(owner, "item", "centred")
-    )
+    return _centred(cells.join(means, owner), owner)
+
+
+def _centred(rows: DataFrame, owner: str = "owner") -> DataFrame:
+    centred = F.col("ratio") - F.col("mean_ratio")
+    return rows.select(owner, "item", centred.alias("centred")).filter(F.abs("centred") >= ZERO)
 
 
-def build_ratings(
+def rated_cells(
     holdings: DataFrame,
-    user: DataFrame | None = None,
     owner: str = "owner",
     item: str = "item",
     amount: str = "amount",
     value: str = "value",
     price: str | None = None,
-) -> Ratings:
-    """Cells, centred cells and means from holdings with numeric amounts and values.
+) -> DataFrame:
+    """(owner, item, ratio, mean_ratio), one row per owner and item held.
 
-    Repeated items are summed before anything is joined, so the joins move one row per owner and
+    Repeated items are summed before anything is joined, so the join moves one row per owner and
     item. Within an owner the ratios of all rows add up to 1, so their mean is 1 over the number
-    of rows; an owner whose total is 0 has no mean and no cells.
+    of rows; an owner whose total is 0 keeps its rows, with null ratios.
     """
-    rows = holdings if user is None else merge_user(holdings, user, owner)
-    rows = rows.withColumn("_asset", asset_value(amount, value, price)).filter("_asset is not null")
-    held = rows.groupBy(F.col(owner).alias("owner"), F.col(item).alias("item")).agg(
-        F.sum("_asset").alias("_asset"), F.count("*").alias("_rows")
+    rows = holdings.withColumn("_asset", asset_value(amount, value, price))
+    held = (
+        rows.filter(F.col("_asset").isNotNull())
+        .groupBy(F.col(owner).alias("owner"), F.col(item).alias("item"))
+        .agg(F.sum("_asset").alias("_asset"), F.count("*").alias("_rows"))
     )
     totals = held.groupBy("owner").agg(
-        F.sum("_asset").alias("_total"), F.sum("_rows").alias("_rows")
-    )
-    means = totals.select(
-        "owner", F.when(F.col("_total") != 0, 1.0 / F.col("_rows")).alias("mean_ratio")
+        F.sum("_asset").alias("_total"), F.sum("_rows").alias("_owner_rows")
     )
-    cells = (
-        held.drop("_rows")
-        .join(totals.select("owner", "_total"), "owner")
-        .select("owner", "item", F.try_divide("_asset", "_total").alias("ratio"))
-        .filter(F.col("ratio") != 0)
+    return held.join(totals, "owner").select(
+        "owner",
+        "item",
+        F.try_divide("_asset", "_total").alias("ratio"),
+        F.when(F.col("_total") != 0, 1.0 / F.col("_owner_rows")).alias("mean_ratio"),
     )
-    return Ratings(cells, centre(cells, means), means)
+
+
+def as_ratings(rated: DataFrame) -> Ratings:
+    """The three tables of ``Ratings`` as cuts of one."""
+    cells = rated.filter(F.col("ratio") != 0)
+    means = rated.groupBy("owner").agg(F.max("mean_ratio").alias("mean_ratio"))
+    return Ratings(cells.select("owner", "item", "ratio"), _centred(cells), means)
+
+
+def build_ratings(holdings: DataFrame, user: DataFrame | None = None, **columns: str) -> Ratings:
+    """Cells, centred cells and means of holdings with numeric amounts and values.
+
+    ``user`` rows replace those of the same owners; ``columns`` name owner, item, amount, value.
+    """
+    if user is not None:
+        holdings = merge_user(holdings, user, columns.get("owner", "owner"))
+    return as_ratings(rated_cells(holdings, **columns))

@@ -227,12 +227,12 @@ def _round_as(column: str):
 
 def baseline_user(spark: SparkSession, folder: str) -> DataFrame:
     centred = rt.build_ratings(views.portfolio(spark, folder)).centred
-    return _baseline_rows(baseline(materialise(centred), "owner", "item", "centred"))
+    return _baseline_rows(baseline(centred, "owner", "item", "centred", store=True))
 
 
 def baseline_item(spark: SparkSession, folder: str) -> DataFrame:
     cells = rt.build_ratings(views.portfolio(spark, folder)).cells
-    return _baseline_rows(baseline(materialise(cells), "item", "owner", "ratio"))
+    return _baseline_rows(baseline(cells, "item", "owner", "ratio", store=True))
 
 
 # -- similarity -------------------------------------------------------------------------------
