@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -34,6 +35,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast of ``df`` when its counted ``rows`` allow it; else leave the join to Spark.
+
+    Meant for narrow tables that were written with ``materialise``: Spark has no size for them.
+    """
+    return F.broadcast(df) if rows <= limit else df
+
+
 def local_session(cores: int | str = 8, app: str = "cofferline", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     return (
