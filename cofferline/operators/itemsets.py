@@ -12,7 +12,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cofferline.session import materialise
+from cofferline.session import broadcast_if_small, materialise
 
 _CELLS_PER_CHUNK = 1 << 24
 
@@ -57,31 +57,42 @@ def frequent_items(
 
 def frequent_baskets(
     holdings: DataFrame, min_support: float, owner: str = "owner", item: str = "item"
-) -> tuple[DataFrame, int]:
-    """Baskets of the frequent items only, and the number of all owners.
+) -> tuple[DataFrame, DataFrame, int]:
+    """Baskets of the frequent items only, those items as (item, freq), the number of all owners.
 
     An infrequent item is in no frequent itemset, so leaving it out before the arrays are built
     changes nothing in the result. It bounds each array by the number of frequent items, which is
     at most the mean basket size over ``min_support``, however much one owner holds.
     """
-    pairs = holdings.select(F.col(owner).alias("owner"), F.col(item).alias("item")).distinct()
-    n_owners = holdings.agg(F.countDistinct(owner)).first()[0]
-    keep = frequent_items(pairs, n_owners * min_support)
+    pairs = materialise(
+        holdings.select(F.col(owner).alias("owner"), F.col(item).alias("item")).distinct()
+    )
+    n_owners = pairs.agg(F.countDistinct("owner")).first()[0]
+    singles = materialise(frequent_items(pairs, n_owners * min_support))
+    keep = broadcast_if_small(singles.select("item"), singles.count())
     baskets = (
         pairs.join(keep, "item", "left_semi")
         .groupBy("owner")
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
     )
-    return baskets, n_owners
+    return baskets, singles, n_owners
 
 
 def frequent_itemsets_of_holdings(
-    holdings: DataFrame, min_support: float, owner: str = "owner", item: str = "item"
+    holdings: DataFrame,
+    min_support: float,
+    owner: str = "owner",
+    item: str = "item",
+    max_candidates: int = 200_000,
 ) -> tuple[DataFrame, int]:
-    """Frequent itemsets straight from (owner, item) rows, and the number of owners."""
-    baskets, n_owners = frequent_baskets(holdings, min_support, owner, item)
-    baskets = materialise(baskets)
-    return _grow(baskets, "items", _threshold(n_owners, min_support)), n_owners
+    """Frequent itemsets straight from (owner, item) rows, and the number of owners.
+
+    Counts level by level as ``levelwise_itemsets`` does, which suits many items of which few
+    combine; with more than ``max_candidates`` candidates in a level, pattern growth takes over.
+    """
+    baskets, singles, n_owners = frequent_baskets(holdings, min_support, owner, item)
+    min_count = _threshold(n_owners, min_support)
+    return _by_level(materialise(baskets), singles, min_count, max_candidates), n_owners
 
 
 # -- level by level ---------------------------------------------------------------------------
@@ -174,24 +185,26 @@ def levelwise_itemsets(
     if n_baskets is None:
         n_baskets = sets.count()
     min_count = _threshold(n_baskets, min_support)
-    singles = frequent_items(sets.select(F.explode("items").alias("item")), min_count)
-    found = level = materialise(singles.select(F.array("item").alias("items"), "freq"))
-    names = [row["items"][0] for row in level.limit(max_candidates + 1).collect()]
+    singles = materialise(frequent_items(sets.select(F.explode("items").alias("item")), min_count))
+    return _by_level(sets, singles, min_count, max_candidates)
+
+
+def _by_level(
+    sets: DataFrame, singles: DataFrame, min_count: int, max_candidates: int
+) -> DataFrame:
+    found = level = singles.select(F.array("item").alias("items"), "freq")
+    names = [row["item"] for row in singles.limit(max_candidates + 1).collect()]
     if len(names) > max_candidates:
         return _grow(sets, "items", min_count)
     frequent = F.lit(names).cast("array<string>")
-    kept = materialise(
-        sets.select(F.array_intersect("items", frequent).alias("items")).filter(F.size("items") > 1)
-    )
+    kept = sets.select(F.array_intersect("items", frequent).alias("items"))
+    counted_sets = materialise(kept.filter(F.size("items") > 1))
     while True:
-        rows = candidate_sets(level).limit(max_candidates + 1).collect()
+        rows = candidate_sets(F.broadcast(level)).limit(max_candidates + 1).collect()
         if not rows:
             return found
         if len(rows) > max_candidates:
-            return _grow(
-                sets.select(F.array_intersect("items", frequent).alias("items")), "items", min_count
-            )
-        counted = count_candidates(kept, [row["items"] for row in rows])
+            return _grow(kept, "items", min_count)
+        counted = count_candidates(counted_sets, [row["items"] for row in rows])
         level = materialise(counted.filter(F.col("freq") >= min_count))
         found = found.unionByName(level)
-
