@@ -1,0 +1,241 @@
+"""Sparse plans against a dense restatement, and the hand-sized fixture."""
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from cofferline.operators.baseline import baseline
+from cofferline.operators.predict import (
+    item_predictions,
+    item_scores,
+    user_predictions,
+    user_scores,
+)
+from cofferline.operators.ratings import Ratings, build_ratings
+from cofferline.operators.similarity import cosine_pairs, neighbour_weights, top_neighbours
+from cofferline.plans.recommend import item_neighbourhood, user_neighbourhood
+
+HAND = [
+    ("u1", "a", 2.0, 10.0), ("u1", "b", 1.0, 20.0), ("u1", "c", 4.0, 15.0),
+    ("u2", "a", 1.0, 30.0), ("u2", "b", 1.0, 10.0), ("u2", "d", 3.0, 20.0),
+    ("u3", "b", 5.0, 4.0), ("u3", "c", 2.0, 40.0),
+    ("u4", "a", 1.0, 50.0), ("u4", "d", 1.0, 30.0), ("u4", "d", 1.0, 20.0),
+    ("u5", "e", 1.0, 7.0),
+]
+
+
+@pytest.fixture(scope="module")
+def hand(spark):
+    return build_ratings(spark.createDataFrame(HAND, "owner string, item string, amount double, value double"))
+
+
+def as_map(df, *keys):
+    rows = df.collect()
+    value = [c for c in df.columns if c not in keys][0]
+    return {tuple(r[k] for k in keys): r[value] for r in rows}
+
+
+def close(got, want):
+    assert set(got) == set(want)
+    for key in want:
+        assert got[key] == pytest.approx(want[key], abs=1e-6), key
+
+
+def test_hand_ratings(hand):
+    close(as_map(hand.cells, "owner", "item"), {
+        ("u1", "a"): 0.2, ("u1", "b"): 0.2, ("u1", "c"): 0.6, ("u2", "a"): 0.3, ("u2", "b"): 0.1,
+        ("u2", "d"): 0.6, ("u3", "b"): 0.2, ("u3", "c"): 0.8, ("u4", "a"): 0.5, ("u4", "d"): 0.5,
+        ("u5", "e"): 1.0})
+    close(as_map(hand.means, "owner"), {
+        ("u1",): 1 / 3, ("u2",): 1 / 3, ("u3",): 0.5, ("u4",): 1 / 3, ("u5",): 1.0})
+    close(as_map(hand.centred, "owner", "item"), {
+        ("u1", "a"): -0.133333, ("u1", "b"): -0.133333, ("u1", "c"): 0.266667,
+        ("u2", "a"): -0.033333, ("u2", "b"): -0.233333, ("u2", "d"): 0.266667,
+        ("u3", "b"): -0.3, ("u3", "c"): 0.3, ("u4", "a"): 0.166667, ("u4", "d"): 0.166667})
+
+
+def test_hand_similarity(hand):
+    pairs = as_map(cosine_pairs(hand.centred, "owner", "item", "centred"), "row", "other")
+    half = {k: v for k, v in pairs.items() if k[0] < k[1]}
+    close(half, {("u1", "u2"): 0.305888, ("u1", "u3"): 0.866025, ("u1", "u4"): -0.288675,
+                 ("u2", "u3"): 0.463586, ("u2", "u4"): 0.463586})
+    items = as_map(cosine_pairs(hand.cells, "item", "owner", "ratio", max_fanout=1), "row", "other")
+    close({k: v for k, v in items.items() if k[0] < k[1]}, {
+        ("a", "b"): 0.378517, ("a", "c"): 0.194666, ("a", "d"): 0.893124, ("b", "c"): 0.933333,
+        ("b", "d"): 0.256074})
+
+
+def test_hand_baselines(hand):
+    user = baseline(hand.centred, "owner", "item", "centred")
+    assert user.mu.first()[0] == pytest.approx(0.069444, abs=1e-6)
+    close(as_map(user.rows, "row"), {("u1",): -0.069444, ("u2",): -0.069444, ("u3",): -0.069444, ("u4",): 0.097222})
+    close(as_map(user.cols, "col"), {("a",): -0.069444, ("b",): -0.291667, ("c",): 0.213889, ("d",): 0.147222})
+    item = baseline(hand.cells, "item", "owner", "ratio", store=True)
+    assert item.mu.first()[0] == pytest.approx(0.533333, abs=1e-6)
+    close(as_map(item.rows, "row"), {("a",): -0.2, ("b",): -0.366667, ("c",): 0.166667, ("d",): 0.016667, ("e",): 0.466667})
+
+
+def test_hand_predictions(hand):
+    near = user_neighbourhood(hand, 2)
+    got = as_map(user_predictions(hand, near.weights, near.base, 50).drop("rank"), "owner", "item")
+    assert {k: v for k, v in got.items() if k[0] in ("u1", "u3")} == {
+        ("u1", "d"): pytest.approx(0.402938, abs=1e-6),
+        ("u3", "a"): pytest.approx(0.401533, abs=1e-6),
+        ("u3", "d"): pytest.approx(0.592977, abs=1e-6)}
+    near = item_neighbourhood(hand, 2)
+    got = as_map(item_predictions(hand, near.weights, near.base, 50).drop("rank"), "owner", "item")
+    assert {k: v for k, v in got.items() if k[0] in ("u1", "u3")} == {
+        ("u1", "d"): pytest.approx(0.453805, abs=1e-6), ("u1", "e"): pytest.approx(0.8, abs=1e-6),
+        ("u3", "a"): pytest.approx(-0.043032, abs=1e-6), ("u3", "d"): pytest.approx(0.29837, abs=1e-6),
+        ("u3", "e"): pytest.approx(0.966667, abs=1e-6)}
+
+
+# -- dense restatement --------------------------------------------------------------------------
+
+
+def dense(cells, row, col, value):
+    wide = cells.pivot_table(index=row, columns=col, values=value, aggfunc="sum").fillna(0.0)
+    return wide.sort_index().sort_index(axis=1)
+
+
+def cosine(wide):
+    x = wide.to_numpy()
+    norm = np.linalg.norm(x, axis=1)
+    x = np.divide(x, norm[:, None], out=np.zeros_like(x), where=norm[:, None] > 0)
+    sims = np.round(x @ x.T, 10)
+    np.fill_diagonal(sims, 0)
+    return pd.DataFrame(sims, wide.index, wide.index)
+
+
+def weights_of(sims, name, k, n_rows, extend):
+    row = sims.loc[name].drop(name)
+    related = sorted(((s, o) for o, s in row.items() if s != 0), key=lambda x: (-x[0], x[1]))
+    ranked = [x for x in related if x[0] > 0] + [(0.0, None)] * (n_rows - 1 - len(related))
+    ranked += [x for x in related if x[0] < 0]
+    taken = ranked[:k]
+    while extend and related and not any(s for s, _ in taken):
+        taken = ranked[: len(taken) + 1]
+    total = sum(s for s, _ in taken)
+    return {} if round(total, 10) == 0 else {o: s / total for s, o in taken if o is not None}
+
+
+def random_rows(seed, owners, items, density):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for o in range(owners):
+        for i in np.flatnonzero(rng.random(items) < density):
+            for _ in range(1 + (rng.random() < 0.2)):
+                rows.append((f"o{o:02d}", f"i{i:02d}", float(rng.integers(1, 9)), float(rng.integers(1, 9))))
+    rows.append((f"o{owners}", "i00", 0.0, 5.0))
+    return rows
+
+
+@pytest.mark.parametrize("seed,owners,items,density", [(1, 18, 12, 0.25), (2, 14, 20, 0.12), (3, 20, 8, 0.6)])
+def test_predictions_equal_dense(spark, seed, owners, items, density):
+    rows = random_rows(seed, owners, items, density)
+    ratings = build_ratings(
+        spark.createDataFrame(rows, "owner string, item string, amount double, value double"))
+    cells, centred = ratings.cells.toPandas(), ratings.centred.toPandas()
+    means = ratings.means.toPandas().set_index("owner")["mean_ratio"]
+    k, n, n_rows = 3, 4, len(means)
+
+    wide = dense(centred, "owner", "item", "centred")
+    seen = wide.where(wide != 0)
+    mu = seen.mean().mean()
+    b_row, b_col, sims = seen.mean(axis=1) - mu, seen.mean() - mu, cosine(wide)
+    want = {}
+    for u in wide.index:
+        w = weights_of(sims, u, k, n_rows, True)
+        if not w:
+            continue
+        for i in wide.columns[wide.loc[u] == 0]:
+            p = sum(x * (wide.loc[v, i] - (mu + b_row[v] + b_col[i])) for v, x in w.items())
+            want[u, i] = round(p + mu + b_row[u] + b_col[i] + means[u], 9)
+    near = user_neighbourhood(ratings, k)
+    check_top(user_predictions(ratings, near.weights, near.base, n), want, n)
+    pairs = spark.createDataFrame(list(want), "owner string, item string")
+    got = as_map(user_scores(pairs, ratings, near.weights, near.base), "owner", "item")
+    close(got, want)
+
+    table = dense(cells, "item", "owner", "ratio")
+    seen = table.where(table != 0)
+    mu = seen.mean().mean()
+    b_row, b_col, sims = seen.mean(axis=1) - mu, seen.mean() - mu, cosine(table)
+    want = {}
+    for i in table.index:
+        w = weights_of(sims, i, k, len(table), False)
+        for u in table.columns[table.loc[i] == 0]:
+            p = sum(x * (table.loc[j, u] - (mu + b_row[j] + b_col[u])) for j, x in w.items())
+            want[u, i] = round(p + mu + b_row[i] + b_col[u], 9)
+    near = item_neighbourhood(ratings, k)
+    check_top(item_predictions(ratings, near.weights, near.base, n), want, n)
+    pairs = spark.createDataFrame(list(want), "owner string, item string")
+    close(as_map(item_scores(pairs, ratings, near.weights, near.base), "owner", "item"), want)
+
+
+def check_top(df, want, n):
+    got = {}
+    for r in df.collect():
+        got.setdefault(r["owner"], []).append((r["rank"], r["item"], r["score"]))
+    by_owner = {}
+    for (u, i), s in want.items():
+        by_owner.setdefault(u, []).append((-s, i))
+    assert set(got) == set(by_owner)
+    for u, expected in by_owner.items():
+        scores = [s for _, _, s in sorted(got[u])]
+        best = [-s for s, _ in sorted(expected)[:n]]
+        assert scores == pytest.approx(best, abs=1e-7)
+        assert all(want[u, i] == pytest.approx(s, abs=1e-7) for _, i, s in got[u])
+
+
+@pytest.mark.parametrize("fanout,block", [(1000, None), (9, 40), (3, 40), (1, None)])
+def test_neighbour_strategies_agree(spark, fanout, block):
+    rng = np.random.default_rng(5)
+    rows = [(f"r{r:03d}", f"k{int(k):02d}", float(x)) for r in range(60)
+            for k, x in zip(*(lambda ks: (ks, rng.normal(size=len(ks))))(
+                np.unique(np.minimum(rng.zipf(1.4, 6), 40))))]
+    rows += [("long", f"k{k:02d}", float(rng.normal())) for k in range(41)]
+    frame = pd.DataFrame(rows, columns=["row", "key", "v"])
+    cells = spark.createDataFrame(frame)
+    sims = cosine(dense(frame, "row", "key", "v"))
+    got = {}
+    for r in top_neighbours(cells, 4, "row", "key", "v", max_fanout=fanout, block_cells=block).collect():
+        got.setdefault(r["row"], []).append((r["rank"], r["other"], r["sim"], r["n_related"]))
+    for name in sims.index:
+        expected = sorted((-s, o) for o, s in sims.loc[name].items() if s != 0)
+        best = [(o, -s) for s, o in expected[:4]]
+        mine = sorted(got.get(name, []))
+        assert [(o, pytest.approx(s, abs=1e-9)) for o, s in best] == [(o, s) for _, o, s, _ in mine]
+        assert all(n in (None, len(expected)) for *_, n in mine)
+    targets = spark.createDataFrame([("r001",), ("long",)], "row string")
+    some = top_neighbours(cells, 4, "row", "key", "v", targets, max_fanout=fanout, block_cells=block).collect()
+    assert {(r["row"], r["other"], round(r["sim"], 8)) for r in some} == {
+        (n, o, round(s, 8)) for n in ("r001", "long") for _, o, s, _ in got[n]}
+    pairs = cosine_pairs(cells, "row", "key", "v", max_fanout=fanout, block_cells=block or 50)
+    close(as_map(pairs, "row", "other"), {
+        (a, b): sims.loc[a, b] for a in sims.index for b in sims.index if sims.loc[a, b] != 0})
+
+
+def test_weights_prefer_unrelated_to_negative(spark):
+    rows = [("a", "b", -0.5, 1, 1), ("c", "d", 0.5, 1, 2), ("c", "e", -0.5, 2, 2)]
+    near = spark.createDataFrame(rows, "row string, other string, sim double, rank int, n_related long")
+    got = lambda n, extend: {(r["row"], r["other"], r["weight"]) for r in neighbour_weights(near, 2, n, extend).collect()}
+    assert got(10, True) == {("a", "b", 1.0), ("c", "d", 1.0)}
+    assert got(10, False) == {("c", "d", 1.0)}
+    assert got(2, True) == {("a", "b", 1.0)}  # both places of c are taken and cancel out
+
+
+def test_exclude_held_and_zero_total(spark):
+    rows = [("x", "a", 1.0, 1.0), ("x", "b", 1.0, 1.0), ("y", "a", 1.0, 3.0), ("y", "b", 1.0, 1.0),
+            ("z", "a", 1.0, 2.0), ("z", "c", 1.0, 1.0), ("w", "a", 0.0, 1.0)]
+    ratings: Ratings = build_ratings(
+        spark.createDataFrame(rows, "owner string, item string, amount double, value double"))
+    assert {r["owner"] for r in ratings.means.collect()} == {"x", "y", "z", "w"}
+    assert ratings.cells.filter(F.col("owner") == "w").isEmpty()
+    assert ratings.centred.filter(F.col("owner") == "x").isEmpty()
+    near = user_neighbourhood(ratings, 2)
+    loose = user_predictions(ratings, near.weights, near.base, 9)
+    strict = user_predictions(ratings, near.weights, near.base, 9, exclude_held=True)
+    assert strict.count() <= loose.count()
+    assert strict.join(ratings.cells, ["owner", "item"]).isEmpty()
