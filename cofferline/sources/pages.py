@@ -29,7 +29,7 @@ class _Table(HTMLParser):
     def __init__(self, table_id: str | None, body_only: bool):
         super().__init__(convert_charrefs=True)
         self.table_id, self.body_only = table_id, body_only
-        self.depth, self.done, self.in_body = 0, False, not body_only
+        self.depth, self.done, self.in_body, self.bodies = 0, False, not body_only, 0
         self.rows: list[list[list]] = []
         self.cell: list | None = None
 
@@ -41,8 +41,9 @@ class _Table(HTMLParser):
             return
         if not self.depth:
             return
-        if tag == "tbody" and self.body_only:
-            self.in_body = True
+        if tag == "tbody" and self.body_only and self.depth == 1:
+            self.bodies += 1
+            self.in_body = self.bodies == 1  # rows of later bodies are not read
         elif tag == "tr" and self.in_body:
             self.rows.append([])
             self.cell = None
