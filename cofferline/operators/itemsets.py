@@ -193,8 +193,9 @@ def _by_level(
     sets: DataFrame, singles: DataFrame, min_count: int, max_candidates: int
 ) -> DataFrame:
     found = level = singles.select(F.array("item").alias("items"), "freq")
-    names = [row["item"] for row in singles.limit(max_candidates + 1).collect()]
-    if len(names) > max_candidates:
+    most = math.isqrt(2 * max_candidates) + 1  # more items than this make too many pairs
+    names = [row["item"] for row in singles.limit(most + 1).collect()]
+    if len(names) > most:
         return _grow(sets, "items", min_count)
     frequent = F.lit(names).cast("array<string>")
     kept = sets.select(F.array_intersect("items", frequent).alias("items"))

@@ -518,3 +518,37 @@ ORACLE["wide_matrix"] = (
     )
     + " FROM cells GROUP BY owner"
 )
+ORACLE["split_and_rmse"] = (
+    f"""WITH {_HOLDINGS},
+everything AS (SELECT owner, chain || '_' || brand AS item, amount, value FROM holdings),"""
+    + _split("SELECT DISTINCT owner FROM everything")
+    + f""",
+draws AS (
+  SELECT owner, item, amount, value, split = 'test' AND
+         CAST(CAST('0x' || substr(md5(owner || '|' || item || '|{SEED}'), 1, 8) AS UBIGINT) AS DOUBLE)
+           < 0.2::DOUBLE * 4294967296::DOUBLE AS hidden
+  FROM everything JOIN split USING (owner)
+),
+portfolio AS (SELECT owner, item, amount, value FROM draws WHERE NOT hidden)"""
+    + _RATINGS
+    + _USER_MODEL
+    + _ITEM_MODEL
+    + """,
+truth AS (
+  SELECT owner, item, sum(amount * value) / max(total) AS ratio
+  FROM (SELECT *, sum(amount * value) OVER (PARTITION BY owner) AS total FROM everything)
+  GROUP BY owner, item
+),
+wanted AS (SELECT DISTINCT owner, item FROM draws WHERE hidden),
+guesses AS (
+  SELECT 'user' AS method, w.owner, w.item, shift + coalesce(term, 0) AS score
+  FROM wanted w JOIN u_offsets o ON o.owner = w.owner JOIN u_cols c ON c.col = w.item
+       LEFT JOIN u_terms t ON t.owner = w.owner AND t.item = w.item
+  UNION ALL
+  SELECT 'item', w.owner, w.item, CASE WHEN alone THEN col_bias ELSE 0 END + base + coalesce(term, 0)
+  FROM wanted w JOIN i_bases b ON b.item = w.item JOIN i_cols o ON o.col = w.owner
+       LEFT JOIN i_terms t ON t.owner = w.owner AND t.item = w.item
+)
+SELECT method, CAST(count(*) AS BIGINT) AS n, round(sqrt(avg(power(score - ratio, 2))), 6) AS rmse
+FROM guesses JOIN truth USING (owner, item) GROUP BY method"""
+)
