@@ -6,10 +6,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofferline.llm import bpe, token_files
+from cofferline.llm import bpe, decontaminate, neighbours, token_files, url_filter
 from cofferline.llm.common import staging_folder, table
 
 
+SITE_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rows = [url_filter.site_rule(*rule) for rule in SITE_RULES]
+    rows += [url_filter.host_word_rule("block", word) for word in url_filter.UNWANTED_HOST_WORDS]
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = url_filter.judge_urls(pages, url_filter.rule_table(spark, rows))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_benchmark(docs, table(spark, folder, "benchmark")).select("doc_id", "found")
+    names = F.array_join(F.array_sort(F.col("found.items").cast("array<string>")), ",")
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        "found.n_hit",
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(names.cast("binary"), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -33,9 +58,86 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors.filter("vec_id % 20 = 0"), vectors, k=20)
+
+
 QUERIES = {
+    "op3_url_filter": op3_url_filter,
+    "op4_decontaminate": op4_decontaminate,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_token_files": op6_token_files,
+    "op9_neighbours": op9_neighbours,
 }
 
-ORACLE: dict[str, str] = {}
+_HOSTS = """
+    SELECT page_id,
+           translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+    FROM pages
+"""
+
+_SITES = " UNION ALL ".join(
+    f"SELECT '{rule}' AS rule, '{verdict}' AS verdict, '{rule.partition('/')[0]}' AS h, '/{rule.partition('/')[2]}' AS p"
+    for verdict, rule in SITE_RULES
+)
+
+_UNWANTED = "|".join(url_filter.UNWANTED_HOST_WORDS)
+
+_WORDS = r"""
+    regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_url_filter": f"""
+        WITH u AS ({_HOSTS}), sites AS ({_SITES}), best AS (
+            SELECT host, path, arg_max(struct_pack(rule := rule, verdict := verdict), length(h) + length(p)) AS best
+            FROM (SELECT DISTINCT host, path FROM u) JOIN sites
+              ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+            GROUP BY host, path)
+        SELECT page_id, host, path, best.rule AS rule,
+               coalesce(best.verdict, CASE WHEN regexp_matches(host, '(^|[.-])({_UNWANTED})([.-]|$)')
+                                           THEN 'block' ELSE 'allow' END) AS verdict
+        FROM u LEFT JOIN best USING (host, path)
+    """,
+    "op4_decontaminate": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        phrases AS (
+            SELECT DISTINCT item_id, w[i : i + 12] AS phrase, len(w[i : i + 12]) AS n
+            FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0),
+        lengths AS (SELECT DISTINCT n FROM phrases),
+        windows AS (
+            SELECT doc_id, i, n, w[i : i + n - 1] AS phrase
+            FROM d, lengths, unnest(range(1, len(w) - n + 2)) AS t(i)),
+        found AS (
+            SELECT doc_id, i, n, item_id FROM windows JOIN phrases USING (n, phrase)),
+        hits AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM found, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+    "op9_neighbours": """
+        WITH v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, max(list_dot_product(q.e, c.e)) AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+            GROUP BY ALL)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 20
+    """,
+}
