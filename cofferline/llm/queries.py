@@ -6,10 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofferline.llm import bpe, decontaminate, neighbours, token_files, url_filter
+from cofferline.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    neighbours,
+    pii,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from cofferline.llm.common import staging_folder, table
 
 
+def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = html_text.extract_main_text(pages)
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 SITE_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
@@ -58,17 +74,79 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def toxicity_model(spark: SparkSession, folder: str) -> dict:
+    """Fitted on labels outside the held-out fifth."""
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.fit(table(spark, folder, "documents"), labels.filter(~held_out()))
+
+
+def held_out(doc_id: str = "doc_id"):
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, toxicity_model(spark, folder))
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def _span_text(spans):
+    """kind:start:end of spans that are in order already."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+
+
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s.base)
+    kinds = F.transform(base, lambda s: s.kind)
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(_span_text(base).cast("binary"), 256).alias("base_sha256"),
+        _span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return neighbours.nearest(vectors.filter("vec_id % 20 = 0"), vectors, k=20)
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts before and after personal data is masked by edits."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, None)
+    mask = F.transform("spans", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), F.concat(F.lit("["), s.kind, F.lit("]")).alias("text")))
+    counted = token_counts.count_tokens(
+        found.withColumn("edits", mask), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    return counted.select(
+        "doc_id",
+        F.col("counted.before").alias("n_tokens"),
+        F.col("counted.edits").alias("n_edits"),
+        F.col("counted.after").alias("n_tokens_edited"),
+        F.col("counted.recounted").alias("n_recounted"),
+        F.sha2(F.coalesce(F.col("counted.text"), F.col("text")).cast("binary"), 256).alias("edited_sha256"),
+    )
+
+
 QUERIES = {
+    "op2_main_text": op2_main_text,
     "op3_url_filter": op3_url_filter,
     "op4_decontaminate": op4_decontaminate,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_token_files": op6_token_files,
+    "op7_toxicity": op7_toxicity,
+    "op8_pii": op8_pii,
     "op9_neighbours": op9_neighbours,
+    "op10_token_counts": op10_token_counts,
 }
 
 _HOSTS = """
