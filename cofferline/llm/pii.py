@@ -30,9 +30,9 @@ _SIGN = re.compile(r"[0-9@]")
 
 _LONGEST = 16
 #: Bounds of the fit: regions that are used.
-MAX_REGIONS = 1500
+MAX_REGIONS = 800
 _MAX_ATOMS = 80
-_EPOCHS = 6
+_EPOCHS = 8
 _RATE = 0.3
 _SHRINK = 1e-4
 
@@ -275,10 +275,10 @@ def _variants(text: str, spans: list[tuple[str, int, int]], draw: random.Random)
             )
         elif kind == "card":
             bare = _digits(old)
-            if draw.random() < 0.5:
-                new = draw.choice([".", "/", "  "]).join(bare[i : i + 4] for i in range(0, len(bare), 4))
-            else:
-                new, keep = bare[:-1] + str((int(bare[-1]) + 3) % 10), False
+            wrong = bare[:-1] + str((int(bare[-1]) + 1 + draw.randrange(9)) % 10)
+            others = [s for s in spans if s[2] <= start]
+            out.append((text[:start] + wrong, others))
+            new = draw.choice([".", "/", "  "]).join(bare[i : i + 4] for i in range(0, len(bare), 4))
         elif draw.random() < 0.5:
             parts = old.split(".")
             new, keep = ".".join([*parts[:3], str(300 + draw.randrange(600))]), False

@@ -10,6 +10,7 @@ from cofferline.llm import (
     bpe,
     decontaminate,
     html_text,
+    jaccard,
     neighbours,
     pii,
     token_counts,
@@ -20,6 +21,11 @@ from cofferline.llm import (
 from cofferline.llm.common import staging_folder, table
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.jaccard_components(docs, shingle=4, percent=85)
+
+
 def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     found = html_text.extract_main_text(pages)
@@ -138,6 +144,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_main_text": op2_main_text,
     "op3_url_filter": op3_url_filter,
     "op4_decontaminate": op4_decontaminate,
@@ -171,6 +178,27 @@ _WORDS = r"""
 """
 
 ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents),
+        g AS (
+            SELECT DISTINCT doc_id, w[i : i + 3] AS gram
+            FROM d, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        links AS (
+            SELECT a, b FROM (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+                FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL)
+            JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+            WHERE 100 * both >= 85 * (na.n + nb.n - both)),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM d
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.b) AS component_id
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
+    """,
     "op3_url_filter": f"""
         WITH u AS ({_HOSTS}), sites AS ({_SITES}), best AS (
             SELECT host, path, arg_max(struct_pack(rule := rule, verdict := verdict), length(h) + length(p)) AS best
