@@ -189,10 +189,10 @@ ORACLE: dict[str, str] = {
         n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
         links AS (
             SELECT a, b FROM (
-                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
                 FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL)
             JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
-            WHERE 100 * both >= 85 * (na.n + nb.n - both)),
+            WHERE 100 * common >= 85 * (na.n + nb.n - common)),
         reach AS (
             SELECT doc_id AS a, doc_id AS b FROM d
             UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
