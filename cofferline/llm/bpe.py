@@ -65,9 +65,7 @@ class PieceMemory(dict):
     def learn(self, pieces: set[str]) -> None:
         if len(self) > _MEMO_LIMIT:
             self.clear()
-            new = list(pieces)
-        else:
-            new = list(pieces - self.keys())
+        new = [piece for piece in pieces if piece not in self]
         long = []
         for piece in new:
             rank = self.whole.get(piece.encode())

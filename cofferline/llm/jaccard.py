@@ -55,8 +55,9 @@ class Shingler:
         except KeyError:
             if len(memo) > _MEMO_LIMIT:
                 memo.clear()
-            for word in set(words) - memo.keys():
-                memo[word] = xxhash.xxh3_64_intdigest(word)
+            for word in words:
+                if word not in memo:
+                    memo[word] = xxhash.xxh3_64_intdigest(word)
             return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
     def grams(self, text: str | None) -> np.ndarray:
