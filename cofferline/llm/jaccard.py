@@ -23,13 +23,15 @@ from cofferline.llm.common import smallest_reachable, stored
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MEMO_LIMIT = 300_000
-_BITS = 1024
+_BITS = 1024  # of a small set; larger sets have more, always a power of two
 #: An n-gram that comes first in more sets than this counts as frequent and moves to the end of the order.
 _FREQUENT = 24
 #: At most so many frequent n-grams are told to all tasks: 8 MB, whatever the data. The rest stay by hash.
 _MOST_FREQUENT = 1 << 20
-#: Groups of at most this many sets are compared in pairs, larger ones are joined to one candidate cluster.
+#: Groups of at most this many sets give their pairs; of larger ones only links that join them are given.
 _PAIRED = 32
+#: Sets of one part of a large group; each pair of parts is one task.
+_GROUP_PART = 4096
 #: Hashes of one part of a cluster; larger clusters are cut into parts, and each pair of parts is one task.
 _PART = 2_000_000
 
@@ -88,11 +90,42 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def parity_bits(grams: np.ndarray) -> bytes:
-    """Bit ``i`` tells whether an odd number of grams has ``i`` as its last bits."""
-    odd = np.bincount((grams & np.uint64(_BITS - 1)).astype(np.int64), minlength=_BITS) & 1
+    """Bit ``i`` tells whether an odd number of grams has ``i`` as its last bits. Two unlike sets differ in
+    half of the bits, so there are enough of them that this exceeds what linked sets can differ in."""
+    width = _BITS
+    while 5 * width < 3 * len(grams):
+        width *= 2
+    odd = np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Rows of bitmaps brought to a smaller width."""
+    while bits.shape[1] > size:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def differences(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """How many bits differ in each pair, at the smaller width of the two."""
+    sizes = np.array([[len(a), len(b)] for a, b in zip(left, right, strict=True)]).reshape(-1, 2)
+    out = np.zeros(len(left), np.int64)
+    for a, b in np.unique(sizes, axis=0).tolist():
+        rows = np.flatnonzero((sizes[:, 0] == a) & (sizes[:, 1] == b))
+        one, two = (
+            folded(np.frombuffer(b"".join([side[row] for row in rows]), np.uint8).reshape(len(rows), -1), min(a, b))
+            for side in (left, right)
+        )
+        out[rows] = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def room(left, right, differ, percent: int):
+    """Whether sets of these sizes that differ in so many bits at least can overlap enough."""
+    return 2 * needed(left, right, percent) <= left + right - differ
+
+
 def _digest(grams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(grams.tobytes())
 
@@ -191,27 +224,23 @@ def _sketcher(size: int, percent: int, shared):
 
 def _pairer(percent: int):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """From rows sorted by gram, size and set: candidate pairs, each group only a few rows in memory."""
+        """From rows sorted by gram, size and set: pairs (a, b) of small groups, and rows (gram, a, n) of
+        large ones. Only the last, unfinished group is carried from batch to batch, while it is small."""
         carried = [np.empty(0, np.int64)] * 3
-        running: tuple | None = None  # gram, first set of the run, last size, of a large group
-
-        def chain(gram, sizes, sets, state):
-            """Large group: sets of compatible sizes in a row all join the first of their run."""
-            root, last = (state[1], state[2]) if state else (sets[0], sizes[0])
-            before = np.concatenate(([last], sizes[:-1]))
-            breaks = 100 * before < percent * sizes
-            starts = np.where(breaks, np.arange(len(sets)), -1)
-            run = np.maximum.accumulate(starts)
-            roots = np.where(run < 0, root, sets[np.maximum(run, 0)])
-            return (roots, sets), (gram, roots[-1], sizes[-1])
-
-        def batch_of(a, b, sure):
-            differ = a != b
-            low, high = np.minimum(a, b)[differ], np.maximum(a, b)[differ]
-            rows = np.unique(np.stack((low, high)), axis=1) if len(low) else np.empty((2, 0), np.int64)
-            return pa.RecordBatch.from_pydict(
-                {"a": pa.array(rows[0]), "b": pa.array(rows[1]), "sure": pa.array(np.full(rows.shape[1], sure))}
-            )
+        large = None  # the gram of an unfinished large group
+
+        def batch_of(grams, a, b, sizes):
+            return pa.RecordBatch.from_arrays([grams, pa.array(a), b, sizes], names=["gram", "a", "b", "n"])
+
+        def pairs_of(left, right):
+            differ = left != right
+            low, high = np.minimum(left, right)[differ], np.maximum(left, right)[differ]
+            rows = np.unique(np.stack((low, high)), axis=1)
+            none = pa.nulls(rows.shape[1], pa.int64())
+            return batch_of(none, rows[0], pa.array(rows[1]), none)
+
+        def rows_of(grams, sizes, sets):
+            return batch_of(pa.array(grams), sets, pa.nulls(len(sets), pa.int64()), pa.array(sizes))
 
         def closed(grams, sizes, sets):
             """All groups here are complete."""
@@ -219,43 +248,39 @@ def _pairer(percent: int):
             lengths = np.diff(edges)
             own = np.repeat(lengths, lengths)
             left, right = [], []
-            for step in range(1, _PAIRED):
+            for step in range(1, min(_PAIRED, len(grams))):
                 same = grams[:-step] == grams[step:]
-                if step >= len(grams) or not same.any():
+                if not same.any():
                     break
                 fit = np.flatnonzero(same & (own[:-step] <= _PAIRED) & (100 * sizes[:-step] >= percent * sizes[step:]))
                 left.append(sets[fit])
                 right.append(sets[fit + step])
             if left:
-                yield batch_of(np.concatenate(left), np.concatenate(right), False)
-            for group in np.flatnonzero(lengths > _PAIRED):
-                span = slice(edges[group], edges[group + 1])
-                (a, b), _ = chain(grams[edges[group]], sizes[span], sets[span], None)
-                yield batch_of(a, b, True)
+                yield pairs_of(np.concatenate(left), np.concatenate(right))
+            if (own > _PAIRED).any():
+                yield rows_of(grams[own > _PAIRED], sizes[own > _PAIRED], sets[own > _PAIRED])
 
         for batch in batches:
             grams, sizes, sets = (
                 np.concatenate((old, column.to_numpy())) for old, column in zip(carried, batch.columns, strict=True)
             )
-            if running is not None:
-                end = int(np.searchsorted(grams != running[0], True)) if len(grams) else 0
+            if large is not None:
+                other = np.flatnonzero(grams != large)
+                end = int(other[0]) if len(other) else len(grams)
                 if end:
-                    (a, b), running = chain(running[0], sizes[:end], sets[:end], running)
-                    yield batch_of(a, b, True)
+                    yield rows_of(grams[:end], sizes[:end], sets[:end])
                     grams, sizes, sets = grams[end:], sizes[end:], sets[end:]
-                if not len(grams):
-                    carried = [grams, sizes, sets]
-                    continue
-                running = None
+            carried = [grams, sizes, sets]
             if not len(grams):
                 continue
+            large = None
             changes = np.flatnonzero(np.diff(grams))
             last = int(changes[-1]) + 1 if len(changes) else 0
             if last:
                 yield from closed(grams[:last], sizes[:last], sets[:last])
             if len(grams) - last > _PAIRED:
-                (a, b), running = chain(grams[last], sizes[last:], sets[last:], None)
-                yield batch_of(a, b, True)
+                large = grams[last]
+                yield rows_of(grams[last:], sizes[last:], sets[last:])
                 last = len(grams)
             carried = [grams[last:], sizes[last:], sets[last:]]
         if len(carried[0]):
@@ -268,16 +293,81 @@ def _bounded(percent: int):
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs whose bitmaps leave room for the needed overlap: each odd difference is a real one."""
         for batch in batches:
-            sizes = [batch.column(i).to_numpy() for i in (2, 3)]
-            bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, _BITS // 8) for i in (4, 5)]
-            differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64)
-            fit = 2 * needed(sizes[0], sizes[1], percent) <= sizes[0] + sizes[1] - differ
-            kept = pa.array(fit)
+            differ = differences(batch.column(4).to_pylist(), batch.column(5).to_pylist())
+            kept = pa.array(room(batch.column(2).to_numpy(), batch.column(3).to_numpy(), differ, percent))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], names=["a", "b"])
 
     return bounded
 
 
+def possible_links(sizes: np.ndarray, bits: list[bytes], percent: int, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that join what the bitmaps allow to be linked, for sets in ascending order of size."""
+    widths = np.array([len(own) for own in bits])
+    tables: dict[int, tuple[int, np.ndarray]] = {}
+    for width in np.unique(widths).tolist():  # larger sets have no fewer bits, so these are the last rows
+        first = int(np.searchsorted(widths, width))
+        parts = [
+            folded(np.frombuffer(b"".join([own for own in bits[first:] if len(own) == wide]), np.uint8).reshape(-1, wide), width)
+            for wide in np.unique(widths[first:]).tolist()
+        ]
+        tables[width] = first, np.concatenate(parts)
+    label, out = np.arange(len(sizes)), []
+    for row in range(1, len(sizes)):
+        low = int(np.searchsorted(100 * sizes[:row], percent * sizes[row]))
+        if low == row:
+            continue
+        first, table = tables[int(widths[low])]
+        differ = np.bitwise_count(table[low - first : row - first] ^ table[row - first]).sum(axis=1, dtype=np.int64)
+        fit = room(sizes[low:row], sizes[row], differ, percent)
+        if sides is not None:
+            fit &= sides[low:row] != sides[row]
+        near = np.flatnonzero(fit) + low
+        for own in np.unique(label[near]).tolist():
+            if own != label[row]:
+                out.append((int(near[label[near] == own][0]), row))
+        joined = np.unique(np.append(label[near], label[row]))
+        if len(joined) > 1:
+            label[np.isin(label, joined)] = joined[0]
+    return out
+
+
+def _group(percent: int):
+    def links(table: pa.Table) -> pa.Table:
+        order = np.lexsort((table["a"].to_numpy(), table["n"].to_numpy()))
+        sets, sizes, bits = table["a"].to_numpy()[order], table["n"].to_numpy()[order], table["bits"].to_pylist()
+        sides = table["part"].to_numpy()[order] if table["i"][0].as_py() != table["j"][0].as_py() else None
+        found = possible_links(sizes, [bits[row] for row in order], percent, sides)
+        return pa.table({name: pa.array(sets[[link[k] for link in found]], pa.int64()) for k, name in enumerate("ab")})
+
+    return links
+
+
+def _candidates(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that join all sets between which a link is possible."""
+    first = sets.select(F.explode("prefix").alias("gram"), "n", "rep")
+    met = first.repartition("gram").sortWithinPartitions("gram", "n", "rep")
+    met = stored(met.mapInArrow(_pairer(percent), "gram bigint, a bigint, b bigint, n bigint"), "met")
+    known = sets.select("rep", "n", "bits")
+    pairs = (
+        met.filter("b is not null")
+        .select("a", "b")
+        .distinct()
+        .join(known.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
+        .join(known.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
+        .select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        .mapInArrow(_bounded(percent), "a bigint, b bigint")
+    )
+    large = met.filter("b is null").select("gram", "a", "n")
+    parts = large.groupBy("gram").agg(F.ceil(F.count("*") / _GROUP_PART).cast("int").alias("parts"))
+    large = large.join(parts, "gram").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
+    large = large.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    large = large.join(known.select(F.col("rep").alias("a"), "bits"), "a").select(
+        "gram", "a", "n", "part", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "bits"
+    )
+    joined = large.groupBy("gram", "i", "j").applyInArrow(_group(percent), "a bigint, b bigint")
+    return pairs.unionByName(joined)
+
+
 # -- trie -------------------------------------------------------------------------------------
 
 
@@ -471,19 +561,7 @@ def jaccard_components(
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     )
     sets = stored(sets, "sets")
-    first = sets.select(F.explode("prefix").alias("gram"), "n", "rep")
-    met = first.repartition("gram").sortWithinPartitions("gram", "n", "rep")
-    pairs = met.mapInArrow(_pairer(percent), "a bigint, b bigint, sure boolean")
-    pairs = stored(pairs.groupBy("a", "b").agg(F.max("sure").alias("sure")), "pairs")
-    sizes = sets.select("rep", "n", "bits")
-    compared = (
-        pairs.filter("not sure")
-        .join(sizes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
-        .join(sizes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
-        .select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-        .mapInArrow(_bounded(percent), "a bigint, b bigint")
-    )
-    clusters = smallest_reachable(compared.unionByName(pairs.filter("sure").select("a", "b")), "a", "b")
+    clusters = smallest_reachable(_candidates(sets, percent), "a", "b")
     clusters = stored(clusters.withColumnRenamed("node", "rep"), "clusters")
     links = _links_in_clusters(rows, sets, clusters, shingle, percent)
     found = smallest_reachable(links, "a", "b")
