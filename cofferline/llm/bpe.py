@@ -8,6 +8,7 @@ by the tokenizer's pattern first and each distinct pre-token is encoded once per
 from __future__ import annotations
 
 import base64
+import struct
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -56,7 +57,7 @@ def sentencepiece_model(tokens: list[bytes]) -> bytes:
 
 
 class PieceMemory(dict):
-    """Ids by pre-token. ``learn`` encodes the unknown ones of a chunk in one call."""
+    """Ids by pre-token, packed as int32. ``learn`` encodes the unknown ones of a chunk in one call."""
 
     def __init__(self, model: bytes, tokens: list[bytes]):
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -72,21 +73,21 @@ class PieceMemory(dict):
             if rank is None:
                 long.append(piece)
             else:
-                self[piece] = (rank,)
+                self[piece] = struct.pack("i", rank)
         mapped = [letters(piece.encode()) for piece in long]
         for piece, ids in zip(long, self.processor.encode(mapped, num_threads=1), strict=True):
-            self[piece] = tuple(ids)
+            self[piece] = array("i", ids).tobytes()
 
 
 def encode_texts(texts: list[str | None], find, memory: PieceMemory) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in one row, and where each text's ids start and end."""
-    flat, ends, waiting, pieces = array("i"), [0], [], 0
+    packed, ends, waiting, pieces = [], [0], [], 0
 
     def flush():
-        memory.learn(set(chain.from_iterable(waiting)))
+        memory.learn(set(chain.from_iterable(waiting)))  # before the first look-up of the chunk
         for found in waiting:
-            flat.extend(chain.from_iterable(map(memory.__getitem__, found)))
-            ends.append(len(flat))
+            packed.append(b"".join(map(memory.__getitem__, found)))
+            ends.append(ends[-1] + len(packed[-1]) // 4)
         waiting.clear()
 
     for text in texts:
@@ -97,7 +98,7 @@ def encode_texts(texts: list[str | None], find, memory: PieceMemory) -> tuple[np
             flush()
             pieces = 0
     flush()
-    return np.frombuffer(flat, np.int32) if flat else np.empty(0, np.int32), np.array(ends, np.int32)
+    return np.frombuffer(b"".join(packed), np.int32), np.array(ends, np.int32)
 
 
 def _encoder(shared, pattern: str):

@@ -14,9 +14,9 @@ A reader takes the seek table from the end and decompresses only the frames it n
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -40,6 +40,7 @@ _WITH_CHECKSUMS = 0x80
 
 _NO_ID = -(2**63)  # a null doc_id in the index
 _MEMO_LIMIT = 300_000
+_CHUNK_WORDS = 200_000
 _OUT_TOKENS = 4_000_000  # ids gathered before a reader hands on a batch
 
 MANIFEST = "path string, first_id bigint, n_docs bigint, n_tokens bigint"
@@ -55,28 +56,30 @@ class FrameWriter:
     def __init__(self, sink, frame_tokens: int):
         self.sink, self.frame_tokens = sink, frame_tokens
         self.compressor = zstandard.ZstdCompressor(level=3, write_checksum=True)
-        self.waiting, self.table = array("I"), []
+        self.waiting, self.table = bytearray(), []
         self.ids, self.starts, self.written = [], [], 0
 
-    def add(self, doc_id: int | None, tokens) -> None:
+    def add(self, doc_id: int | None, tokens: bytes) -> None:
+        """``tokens``: little-endian uint32."""
         self.ids.append(_NO_ID if doc_id is None else doc_id)
-        self.starts.append(self.written + len(self.waiting))
-        self.waiting.extend(tokens)
-        while len(self.waiting) >= self.frame_tokens:
-            self._frame(self.waiting[: self.frame_tokens])
-            self.waiting = self.waiting[self.frame_tokens :]
-
-    def _frame(self, tokens: array) -> None:
-        data = np.frombuffer(tokens, np.uint32).astype("<u4").tobytes()
+        self.starts.append(self.written + len(self.waiting) // 4)
+        self.waiting += tokens
+        size, full = 4 * self.frame_tokens, 0
+        while len(self.waiting) - full >= size:
+            self._frame(bytes(self.waiting[full : full + size]))
+            full += size
+        del self.waiting[:full]
+
+    def _frame(self, data: bytes) -> None:
         frame = self.compressor.compress(data)
         self.sink.write(frame)
         self.table.append((len(frame), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
-        self.written += len(tokens)
+        self.written += len(data) // 4
 
     def close(self) -> int:
         """Finish the file; returns its number of ids."""
         if self.waiting:
-            self._frame(self.waiting)
+            self._frame(bytes(self.waiting))
         index = np.array([[*self.ids, self.written], [*self.starts, self.written]], "<i8").tobytes()
         packed = self.compressor.compress(index)
         self.sink.write(struct.pack("<II", _INDEX_MAGIC, len(packed)) + packed)
@@ -138,35 +141,52 @@ class FrameReader:
 
 
 class WordMemory(dict):
-    """Ids by white-space-delimited stretch. The tokenizer never joins across ASCII white space, so the
-    ids of a text are those of its stretches in order."""
+    """Packed ids by white-space-delimited stretch. The tokenizer never joins across ASCII white space,
+    so the ids of a text are those of its stretches in order."""
 
     def __init__(self, tokenizer_json: str):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
+    def learn(self, words: set[bytes]) -> None:
+        """Encode the unknown ones of a chunk in one call."""
         if len(self) > _MEMO_LIMIT:
             self.clear()
-        ids = tuple(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
-        self[word] = ids
-        return ids
-
-    def encode(self, text: str | None):
-        return chain.from_iterable(map(self.__getitem__, text.encode().split())) if text else ()
+        new = [word for word in words if word not in self]
+        found = self.tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
+        for word, encoding in zip(new, found, strict=True):
+            self[word] = np.array(encoding.ids, "<u4").tobytes()
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of every text as little-endian uint32, chunk by chunk."""
+        waiting, held = [], 0
+        for text in texts:
+            waiting.append(text.encode().split() if text else [])
+            held += len(waiting[-1])
+            if held > _CHUNK_WORDS:
+                yield from self._chunk(waiting)
+                waiting, held = [], 0
+        yield from self._chunk(waiting)
+
+    def _chunk(self, waiting: list[list[bytes]]) -> Iterator[bytes]:
+        self.learn(set(chain.from_iterable(waiting)))
+        for words in waiting:
+            yield b"".join(map(self.__getitem__, words))
 
 
 def _writer(folder: str, tokenizer, end_id: int, frame_tokens: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         memory, out, first, path = WordMemory(tokenizer.value), None, None, None
+        end = np.array([end_id], "<u4").tobytes()
         store, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, tokens in zip(batch.column(0).to_pylist(), memory.encode(batch.column(1).to_pylist()), strict=True):
                 if out is None:
                     store.create_dir(root, recursive=True)
                     path = f"{root}/{uuid.uuid4().hex}.tokens"
                     sink = store.open_output_stream(path)
                     out, first = FrameWriter(sink, frame_tokens), doc_id
-                out.add(doc_id, chain(memory.encode(text), (end_id,)))
+                out.add(doc_id, tokens + end)
         if out is not None:
             count = out.close()
             sink.close()
