@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,8 +38,14 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.limit(1).count() == 0
+def worker_memory(key: str, build):
+    """What ``build`` makes, kept for later tasks of the same Python worker. Only for memories whose
+    loss changes nothing: a new worker starts with an empty one."""
+    name = "_cofferline_worker"
+    kept = sys.modules.setdefault(name, types.ModuleType(name))
+    if not hasattr(kept, key):
+        setattr(kept, key, build())
+    return getattr(kept, key)
 
 
 def smallest_reachable(edges: DataFrame, low: str, high: str) -> DataFrame:

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cofferline.llm.bpe import PieceMemory, read_ranks, sentencepiece_model
+from cofferline.llm.bpe import PieceMemory, piece_memory, read_ranks, sentencepiece_model
 
 EDITS = "array<struct<start:int,end:int,text:string>>"
 RESULT = "struct<before:bigint,after:bigint,edits:int,recounted:bigint,text:string>"
@@ -191,8 +191,7 @@ def apply_edits(document: CountedText, edits: list[dict] | None) -> int:
 
 def _counter(shared, pattern: str):
     def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        tokens, model = shared.value
-        memory, cuts = PieceMemory(model, tokens), regex.compile(pattern)
+        memory, cuts = piece_memory(*shared.value), regex.compile(pattern)
         for texts, edits in batches:
             out = []
             for text, own in zip(texts.to_pylist(), edits.to_pylist(), strict=True):

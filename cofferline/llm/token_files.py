@@ -15,6 +15,7 @@ A reader takes the seek table from the end and decompresses only the frames it n
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from cofferline.llm.common import stored
+from cofferline.llm.common import stored, worker_memory
 
 # fixed values of the public seekable format
 _INDEX_MAGIC = 0x184D2A51
@@ -39,8 +40,9 @@ _SEEK_END = 0x8F92EAB1
 _WITH_CHECKSUMS = 0x80
 
 _NO_ID = -(2**63)  # a null doc_id in the index
-_MEMO_LIMIT = 300_000
+_MEMO_LIMIT = 600_000
 _CHUNK_WORDS = 200_000
+_LONE_MARK = re.compile(rb"(?<=[a-z])[,.](?=[ \n]|\Z)")
 _OUT_TOKENS = 4_000_000  # ids gathered before a reader hands on a batch
 
 MANIFEST = "path string, first_id bigint, n_docs bigint, n_tokens bigint"
@@ -140,9 +142,17 @@ class FrameReader:
 # -- tokens -----------------------------------------------------------------------------------
 
 
+def _stretches(text: str | None) -> list[bytes]:
+    """Parts of a text that the tokenizer treats alone, in few forms: it never joins across ASCII white
+    space, lowers the case, and takes a comma or stop between a letter and white space by itself."""
+    data = text.encode() if text else b""
+    if b"<|" not in data:  # names of special tokens keep their case
+        data = _LONE_MARK.sub(rb" \g<0>", data.lower())
+    return data.split()
+
+
 class WordMemory(dict):
-    """Packed ids by white-space-delimited stretch. The tokenizer never joins across ASCII white space,
-    so the ids of a text are those of its stretches in order."""
+    """Packed ids by stretch; the ids of a text are those of its stretches in order."""
 
     def __init__(self, tokenizer_json: str):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -160,7 +170,7 @@ class WordMemory(dict):
         """Ids of every text as little-endian uint32, chunk by chunk."""
         waiting, held = [], 0
         for text in texts:
-            waiting.append(text.encode().split() if text else [])
+            waiting.append(_stretches(text))
             held += len(waiting[-1])
             if held > _CHUNK_WORDS:
                 yield from self._chunk(waiting)
@@ -176,7 +186,8 @@ class WordMemory(dict):
 def _writer(folder: str, tokenizer, end_id: int, frame_tokens: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        memory, out, first, path = WordMemory(tokenizer.value), None, None, None
+        key = f"words_{xxhash.xxh3_64_hexdigest(tokenizer.value)}"
+        memory, out, first, path = worker_memory(key, lambda: WordMemory(tokenizer.value)), None, None, None
         end = np.array([end_id], "<u4").tobytes()
         store, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
