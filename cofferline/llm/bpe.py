@@ -17,15 +17,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cofferline.llm.common import worker_memory
-
 _FIRST_LETTER = 0x100  # byte b is written as the letter U+0100 + b
 _LETTERS = {b: _FIRST_LETTER + b for b in range(256)}
-_MEMO_LIMIT = 300_000  # pre-tokens kept; beyond it the memory starts anew, results are the same
+_MEMO_LIMIT = 150_000  # pre-tokens kept; beyond it the memory starts anew, results are the same
 _CHUNK_PIECES = 200_000
 
 
@@ -82,12 +79,6 @@ class PieceMemory(dict):
             self[piece] = array("i", ids).tobytes()
 
 
-def piece_memory(tokens: list[bytes], model: bytes) -> PieceMemory:
-    """The memory of this Python worker for a model."""
-    key = f"pieces_{xxhash.xxh3_64_hexdigest(model)}"
-    return worker_memory(key, lambda: PieceMemory(model, tokens))
-
-
 def encode_texts(texts: list[str | None], find, memory: PieceMemory) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in one row, and where each text's ids start and end."""
     packed, ends, waiting, pieces = [], [0], [], 0
@@ -112,7 +103,8 @@ def encode_texts(texts: list[str | None], find, memory: PieceMemory) -> tuple[np
 
 def _encoder(shared, pattern: str):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        memory, find = piece_memory(*shared.value), regex.compile(pattern).findall
+        tokens, model = shared.value
+        memory, find = PieceMemory(model, tokens), regex.compile(pattern).findall
         for texts in batches:
             flat, ends = encode_texts(texts.to_pylist(), find, memory)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
@@ -124,10 +116,12 @@ def _decoder(shared):
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = dict(enumerate(shared.value[0])).get
         for rows in batches:
+            # one document's ids at a time become Python numbers
+            ids, ends, missing = rows.values.fill_null(-1).to_numpy(), rows.offsets.to_numpy(), rows.is_null().to_pylist()
             yield pa.array(
                 [
-                    None if ids is None else b"".join([token(i, b"") for i in ids])
-                    for ids in rows.to_pylist()
+                    None if null else b"".join([token(i, b"") for i in ids[start:end].tolist()])
+                    for start, end, null in zip(ends[:-1], ends[1:], missing, strict=True)
                 ],
                 pa.binary(),
             )

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cofferline.llm.common import smallest_reachable, stored
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_MEMO_LIMIT = 300_000
+_MEMO_LIMIT = 150_000
 _BITS = 1024  # of a small set; larger sets have more, always a power of two
 #: An n-gram that comes first in more sets than this counts as frequent and moves to the end of the order.
 _FREQUENT = 24

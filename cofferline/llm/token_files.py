@@ -40,7 +40,7 @@ _SEEK_END = 0x8F92EAB1
 _WITH_CHECKSUMS = 0x80
 
 _NO_ID = -(2**63)  # a null doc_id in the index
-_MEMO_LIMIT = 600_000
+_MEMO_LIMIT = 400_000
 _CHUNK_WORDS = 200_000
 _LONE_MARK = re.compile(rb"(?<=[a-z])[,.](?=[ \n]|\Z)")
 _OUT_TOKENS = 4_000_000  # ids gathered before a reader hands on a batch

@@ -31,7 +31,7 @@ _NEAREST = 25
 _SHARPNESS = 4  # votes weigh cosine ** 4
 _PRIOR_WEIGHT = 0.5
 _EVIDENCE = 5
-_MEMO_LIMIT = 300_000
+_MEMO_LIMIT = 150_000
 
 RESULT = "struct<score:double,evidence:array<struct<doc_id:bigint,label:int,cosine:double>>>"
 _PROOF = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
@@ -236,7 +236,7 @@ def _judge(shared):
                 counts = memory.count(text)
                 key = tuple(sorted(counts.items()))
                 if key not in known:
-                    if len(known) > 20_000:
+                    if len(known) > 5_000:
                         known.clear()
                     known[key] = index.judge(counts)
                 score, proof = known[key]
