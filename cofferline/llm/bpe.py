@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 import struct
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -20,6 +20,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cofferline.llm.common import values_of
+
 _FIRST_LETTER = 0x100  # byte b is written as the letter U+0100 + b
 _LETTERS = {b: _FIRST_LETTER + b for b in range(256)}
 _MEMO_LIMIT = 150_000  # pre-tokens kept; beyond it the memory starts anew, results are the same
@@ -79,15 +81,15 @@ class PieceMemory(dict):
             self[piece] = array("i", ids).tobytes()
 
 
-def encode_texts(texts: list[str | None], find, memory: PieceMemory) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: Iterable[str | None], find, memory: PieceMemory) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in one row, and where each text's ids start and end."""
-    packed, ends, waiting, pieces = [], [0], [], 0
+    packed, ends, waiting, pieces = bytearray(), [0], [], 0
 
     def flush():
         memory.learn(set(chain.from_iterable(waiting)))  # before the first look-up of the chunk
         for found in waiting:
-            packed.append(b"".join(map(memory.__getitem__, found)))
-            ends.append(ends[-1] + len(packed[-1]) // 4)
+            packed.extend(b"".join(map(memory.__getitem__, found)))
+            ends.append(len(packed) // 4)
         waiting.clear()
 
     for text in texts:
@@ -98,7 +100,7 @@ def encode_texts(texts: list[str | None], find, memory: PieceMemory) -> tuple[np
             flush()
             pieces = 0
     flush()
-    return np.frombuffer(b"".join(packed), np.int32), np.array(ends, np.int32)
+    return np.frombuffer(packed, np.int32), np.array(ends, np.int32)
 
 
 def _encoder(shared, pattern: str):
@@ -106,7 +108,7 @@ def _encoder(shared, pattern: str):
         tokens, model = shared.value
         memory, find = PieceMemory(model, tokens), regex.compile(pattern).findall
         for texts in batches:
-            flat, ends = encode_texts(texts.to_pylist(), find, memory)
+            flat, ends = encode_texts(values_of(texts, 100), find, memory)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
 
     return encode

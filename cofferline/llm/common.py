@@ -38,6 +38,12 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def values_of(column, rows: int = 500):
+    """Python values of an Arrow column; only some rows at a time are held as such."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
 def worker_memory(key: str, build):
     """What ``build`` makes, kept for later tasks of the same Python worker. Only for memories whose
     loss changes nothing: a new worker starts with an empty one."""

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cofferline.llm.common import smallest_reachable, stored
+from cofferline.llm.common import smallest_reachable, stored, values_of
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MEMO_LIMIT = 150_000
@@ -141,7 +141,7 @@ def _first_grams(size: int, percent: int):
             return pa.RecordBatch.from_pydict({"gram": pa.array(names.view(np.int64)), "n": pa.array(counts.astype(np.int64))})
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in values_of(batch.column(0)):
                 grams = shingler.grams(text)
                 if len(grams):
                     # half as many again as are needed, since frequent ones will make room for others
@@ -194,10 +194,10 @@ def _sketcher(size: int, percent: int, shared):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, order = Shingler(size), Order(np.frombuffer(shared.value, np.uint64))
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, texts = batch.column(0), batch.column(1)
             for at in range(0, len(texts), 1000):
                 ns, digests, firsts, ends, bits = [], [], [], [0], []
-                for text in texts[at : at + 1000]:
+                for text in texts.slice(at, 1000).to_pylist():
                     grams = shingler.grams(text)
                     ns.append(len(grams))
                     digests.append(_digest(grams))
@@ -515,9 +515,9 @@ def _gatherer(size: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
+            texts = batch.column(2)
             for at in range(0, len(texts), 1000):
-                grams = [shingler.grams(text) for text in texts[at : at + 1000]]
+                grams = [shingler.grams(text) for text in texts.slice(at, 1000).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(grams)),

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cofferline.llm.common import values_of
+
 KINDS = ("email", "ip", "card", "phone")
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -295,7 +297,7 @@ def _variants(text: str, spans: list[tuple[str, int, int]], draw: random.Random)
 def _training_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
-        for text in batch.column(0).to_pylist():
+        for text in values_of(batch.column(0)):
             if text and _SIGN.search(text):
                 found += [text[a:b] for a, b in regions(text) if b - a < 8 * _MAX_ATOMS]
         yield pa.RecordBatch.from_pydict({"region": pa.array(found, pa.string())})
@@ -348,7 +350,7 @@ def _finder(shared):
         weights = shared.value
         for texts in batches:
             rows = []
-            for text in texts.to_pylist():
+            for text in values_of(texts):
                 spans = find_in_text(text, weights)
                 rows.append([{"kind": k, "start": a, "end": b, "base": own} for k, a, b, own in spans])
             yield pa.array(rows, _ARROW)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cofferline.llm.bpe import PieceMemory, read_ranks, sentencepiece_model
+from cofferline.llm.common import values_of
 
 EDITS = "array<struct<start:int,end:int,text:string>>"
 RESULT = "struct<before:bigint,after:bigint,edits:int,recounted:bigint,text:string>"
@@ -195,7 +196,7 @@ def _counter(shared, pattern: str):
         memory, cuts = PieceMemory(model, tokens), regex.compile(pattern)
         for texts, edits in batches:
             out = []
-            for text, own in zip(texts.to_pylist(), edits.to_pylist(), strict=True):
+            for text, own in zip(values_of(texts), values_of(edits), strict=True):
                 document = CountedText(text or "", cuts.findall, cuts.finditer, memory)
                 before = document.tokens
                 made = apply_edits(document, own)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cofferline.llm.common import values_of
 from cofferline.llm.decontaminate import words_of
 
 #: Bounds of the fit: labelled examples that are used, and terms that are kept.
@@ -232,7 +233,7 @@ def _judge(shared):
         memory, known = TermMemory(index.names), {}
         for texts in batches:
             scores, proofs = [], []
-            for text in texts.to_pylist():
+            for text in values_of(texts):
                 counts = memory.count(text)
                 key = tuple(sorted(counts.items()))
                 if key not in known:
