@@ -47,8 +47,14 @@ def contract_from_link(link: Column) -> Column:
 
 
 def links_in_html(html: Column) -> Column:
-    """All double-quoted link targets of anchors, in page order."""
-    return F.regexp_extract_all(html, F.lit(r'<a\s[^>]*?href="([^"]*)"'), F.lit(1))
+    """All link targets of anchors, in page order: any case, quoted either way or bare, ``&amp;`` decoded.
+
+    Anchors inside comments do not count."""
+    seen = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
+    whole = F.regexp_extract_all(
+        seen, F.lit(r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1)
+    )
+    return F.transform(whole, lambda link: F.replace(F.btrim(link, F.lit("\"'")), F.lit("&amp;"), F.lit("&")))
 
 
 def list_from_text(text: Column) -> Column:
@@ -59,7 +65,7 @@ def list_from_text(text: Column) -> Column:
         lambda q: F.regexp_replace(q.substr(F.lit(2), F.length(q) - 2), r"\\(.)", "$1"),
     )
     is_literal = F.trim(text).rlike(r"""^(\[.*\]|'.*'|".*")$""")
-    return F.when(is_literal, inner).otherwise(F.array(text))
+    return F.when(is_literal, inner).when(text.isNotNull(), F.array(text))
 
 
 def text_from_list(items: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cofferline.operators.ranks import ordered_positions
 
@@ -43,15 +44,6 @@ def items_as_text(baskets: DataFrame, items: str = "items", separator: str = ","
     return baskets.withColumn(items, F.concat_ws(separator, F.col(items)))
 
 
-def _repeated(placed: DataFrame, owner: str, item: str) -> DataFrame:
-    return (
-        placed.groupBy(owner, item)
-        .agg(F.count("*").alias("count"), F.array_sort(F.collect_list("pos")).alias("positions"))
-        .filter(F.col("count") > 1)
-        .withColumn("positions", F.concat_ws(",", "positions"))
-    )
-
-
 def duplicate_items(
     df: DataFrame,
     order: list[str],
@@ -66,14 +58,10 @@ def duplicate_items(
     placed = ordered_positions(
         df.select(owner, item, *order), owner, [*order, item], rows_per_slice=rows_per_slice
     )
-    return _repeated(placed, owner, item)
-
-
-def duplicates_in_baskets(
-    baskets: DataFrame, owner: str = "owner", items: str = "items"
-) -> DataFrame:
-    """The same report from basket arrays that still hold repeats."""
-    return _repeated(baskets.select(owner, F.posexplode(items).alias("pos", "item")), owner, "item")
+    copies = F.count("*").over(Window.partitionBy(owner, item))
+    ranked = placed.withColumn("count", copies).filter("count > 1")
+    joined = ranked.groupBy(owner, item, "count").agg(F.sort_array(F.collect_list("pos")).alias("_places"))
+    return joined.select(owner, item, "count", F.array_join(F.col("_places").cast("array<string>"), ",").alias("positions"))
 
 
 def owner_count(df: DataFrame, owner: str = "owner", approximate: bool = False) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The thresholds that reports are cut at.
-SUPPORT_GRID = [percent / 100 for percent in range(5, 21)]
-CONFIDENCE_GRID = [percent / 100 for percent in range(50, 81, 10)]
+SUPPORT_GRID = [
+    0.05, 0.06, 0.07, 0.08, 0.09, 0.10, 0.11, 0.12, 0.13, 0.14, 0.15, 0.16, 0.17, 0.18, 0.19, 0.20,
+]
+CONFIDENCE_GRID = [0.5, 0.6, 0.7, 0.8]
 
 
 def association_rules(

@@ -110,9 +110,7 @@ def extract_portfolios(pages: DataFrame) -> DataFrame:
     rows = _raw_rows(
         pages, PORTFOLIO_TABLE_ID, _table_rows(PORTFOLIO_TABLE_ID, True, skip=0)
     )
-    address = F.split_part(
-        F.split_part(last_path_segment(F.col("url")), F.lit("#"), F.lit(1)), F.lit("?"), F.lit(1)
-    )
+    address = last_path_segment(F.regexp_extract("url", r"(?s)^[^?#]*", 0))
     names = ["chain", "token", "portfolio_percent", "price", "amount", "value"]
     cell = {name: F.col("cells")[i] for i, name in enumerate(names)}
     cell["owner"] = address
