@@ -297,4 +297,5 @@ def read_token_files(files: DataFrame, wanted: DataFrame | None = None, doc_id:
         )
     else:
         based = based.select("path", "base")
-    return based.repartition("path").mapInArrow(_row_reader, ROWS)
+    # one partition a file; a number given is not coalesced, so files are read side by side
+    return based.repartition(max(1, files.count()), "path").mapInArrow(_row_reader, ROWS)
