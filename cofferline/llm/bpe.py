@@ -11,7 +11,7 @@ import base64
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, tee
 
 import numpy as np
 import pyarrow as pa
@@ -131,6 +131,17 @@ def _decoder(shared):
     return decode
 
 
+def _round_trip(shared, pattern: str):
+    encode, decode = _encoder(shared, pattern), _decoder(shared)
+
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ids, same_ids = tee(encode(batches))  # read in turn, so that one batch is held
+        for own, decoded in zip(ids, decode(same_ids), strict=True):
+            yield pa.StructArray.from_arrays([own, decoded], ["ids", "decoded"])
+
+    return both
+
+
 def _shared(df: DataFrame, ranks_path: str):
     """Vocabulary and model as a broadcast; both are as large as the rank file, whatever the data."""
     tokens = read_ranks(ranks_path)
@@ -152,3 +163,11 @@ def byte_bpe_decode(df: DataFrame, ranks_path: str, ids: str = "ids", decoded: s
     outside the vocabulary, gives no bytes. A column that is called ``decoded`` already is replaced."""
     decode = F.arrow_udf(_decoder(_shared(df, ranks_path)), "binary")
     return df.withColumn(decoded, decode(F.col(ids)))
+
+
+def byte_bpe_round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", coded: str = "coded") -> DataFrame:
+    """Add ``coded``: ``ids`` as ``byte_bpe_encode`` gives them, and ``decoded`` as ``byte_bpe_decode``
+    makes from these. Both steps share one Python worker, so a task needs the memory of one only. A
+    column of that name is replaced."""
+    both = F.arrow_udf(_round_trip(_shared(df, ranks_path), pattern), "struct<ids:array<int>,decoded:binary>")
+    return df.withColumn(coded, both(F.col(text)))

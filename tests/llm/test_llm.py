@@ -43,6 +43,9 @@ def test_byte_bpe(spark, docs, encoding):
     odd = spark.createDataFrame([([None, 0, 10**6],), (None,)], "ids array<int>")
     assert [r.decoded for r in bpe.byte_bpe_decode(odd, RANKS).collect()] == [encoding.decode_single_token_bytes(0), None]
     assert bpe.byte_bpe_encode(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+    both = bpe.byte_bpe_round_trip(docs, RANKS, public_tokenizers.PATTERN, coded="spans")
+    assert both.columns == docs.columns and both.limit(0).count() == 0
+    assert sorted((r.spans.ids, bytes(r.spans.decoded)) for r in both.collect()) == sorted((r.ids, bytes(r.decoded)) for r in out)
 
 
 def test_token_files(spark, docs):
