@@ -52,10 +52,10 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def encode_and_check(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether they decode to its text; a null text decodes to nothing."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.byte_bpe_encode(docs, ranks, public_tokenizers.PATTERN, ids="ids")
-    decoded = bpe.byte_bpe_decode(encoded, ranks, ids="ids", decoded="_decoded")
-    same = F.col("_decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return decoded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", same.alias("round_trip"))
+    coded = bpe.byte_bpe_round_trip(docs, ranks, public_tokenizers.PATTERN, coded="_coded")
+    same = F.col("_coded.decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    n_tokens = F.size("_coded.ids").cast("bigint").alias("n_tokens")
+    return coded.select("doc_id", "lang", "source", n_tokens, "_coded.ids", same.alias("round_trip"))
 
 
 STAGES = [
