@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cofferline.session import materialise
+
 # The thresholds that reports are cut at.
 SUPPORT_GRID = [
     0.05, 0.06, 0.07, 0.08, 0.09, 0.10, 0.11, 0.12, 0.13, 0.14, 0.15, 0.16, 0.17, 0.18, 0.19, 0.20,
@@ -12,45 +16,45 @@ SUPPORT_GRID = [
 CONFIDENCE_GRID = [0.5, 0.6, 0.7, 0.8]
 
 
-def association_rules(
-    itemsets: DataFrame, n_baskets: int, min_confidence: float, max_len: int = 20
-) -> DataFrame:
+def association_rules(itemsets: DataFrame, n_baskets: int, min_confidence: float) -> DataFrame:
     """Rules X -> Y over all splits of each frequent itemset, with confidence > ``min_confidence``.
 
-    ``itemsets`` must hold every frequent itemset, as all its subsets are looked up in it. A set
-    of ``k`` items has ``2**k - 2`` splits; sets longer than ``max_len`` raise an error.
+    ``itemsets`` must hold every frequent itemset, items sorted, as all its subsets are looked up in
+    it. Consequents grow by one item a step. A longer consequent leaves a shorter antecedent, which
+    is at least as frequent, so confidence never rises and only rules that were kept are extended.
     """
-    size = F.size("items")
-    short = F.when(size <= max_len, F.lit(True)).otherwise(
-        F.raise_error(F.lit(f"an itemset has more than {max_len} items")).cast("boolean")
-    )
-    masks = F.expr("sequence(1L, shiftleft(1L, size(items)) - 2)")
-    pairs = (
-        itemsets.filter(size > 1)
-        .filter(short)
-        .select("items", F.col("freq").alias("_both"), F.explode(masks).alias("_mask"))
-        .select(
-            "_both",
-            F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1) = 1)").alias("antecedent"),
-            F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1) = 0)").alias("consequent"),
-        )
-    )
+    longest = itemsets.agg(F.max(F.size("items"))).first()[0] or 0
     left = itemsets.select(F.col("items").alias("antecedent"), F.col("freq").alias("_left"))
     right = itemsets.select(F.col("items").alias("consequent"), F.col("freq").alias("_right"))
     n = F.lit(float(n_baskets))
-    confidence = F.col("_both") / F.col("_left").cast("double")
-    return (
-        pairs.join(left, "antecedent")
-        .withColumn("confidence", confidence)
-        .filter(F.col("confidence") > F.lit(float(min_confidence)))
-        .join(right, "consequent")
-        .select(
-            "antecedent",
-            "consequent",
-            "confidence",
-            (F.col("confidence") / (F.col("_right") / n)).alias("lift"),
-            (F.col("_both") / n).alias("support"),
+    splits = itemsets.filter(F.size("items") > 1).select(
+        "items", F.col("freq").alias("_both"), F.explode("items").alias("_item")
+    ).select("items", "_both", F.array("_item").alias("consequent"))
+    steps = []
+    for _ in range(1, max(longest, 2)):
+        kept = materialise(
+            splits.withColumn("antecedent", F.array_except("items", "consequent"))
+            .join(left, "antecedent")
+            .withColumn("confidence", F.col("_both") / F.col("_left").cast("double"))
+            .filter(F.col("confidence") > F.lit(float(min_confidence)))
+            .select("items", "_both", "antecedent", "consequent", "confidence")
+        )
+        steps.append(kept)
+        if kept.isEmpty():
+            break
+        # items are added in order, so that every consequent is made once
+        later = F.filter("items", lambda x: x > F.element_at("consequent", -1))
+        splits = (
+            kept.filter(F.size("antecedent") > 1)
+            .select("items", "_both", "consequent", F.explode(later).alias("_item"))
+            .select("items", "_both", F.concat("consequent", F.array("_item")).alias("consequent"))
         )
+    return reduce(DataFrame.unionByName, steps).join(right, "consequent").select(
+        "antecedent",
+        "consequent",
+        "confidence",
+        (F.col("confidence") / (F.col("_right") / n)).alias("lift"),
+        (F.col("_both") / n).alias("support"),
     )
 
 

@@ -41,7 +41,7 @@ TYPE_SUPPORT = 0.05
 BRAND_SUPPORT, BRAND_CONFIDENCE = 0.55, 0.5
 BRAND_SUPPORTS, BRAND_CONFIDENCES = [0.55, 0.6, 0.65, 0.7], [0.7, 0.75, 0.8, 0.85]
 RULE_SUPPORT, RULE_CONFIDENCE = 0.22, 0.48
-K, DEPTH, BLEND_DEPTH, TOP, SEED = 5, 50, 20, 10, 7
+K, DEPTH, BLEND_DEPTH, TOP, SEED = 5, 50, 50, 10, 7
 
 
 def _text(column: str):

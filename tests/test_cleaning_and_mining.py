@@ -62,14 +62,22 @@ def golden(spark):
 
 
 def test_golden_rules(golden):
+    counts = {tuple(r["items"]): r["freq"] for r in golden.collect()}
+    want = {}
+    for items, both in counts.items():
+        for size in range(1, len(items)):
+            for left in itertools.combinations(items, size):
+                right = tuple(x for x in items if x not in left)
+                confidence = both / counts[left]
+                if confidence > 0.7:
+                    want[left, right] = (confidence, confidence / (counts[right] / BASKETS), both / BASKETS)
     rules = association_rules(golden, BASKETS, 0.7).collect()
+    found = {(tuple(r["antecedent"]), tuple(r["consequent"])): (r["confidence"], r["lift"], r["support"]) for r in rules}
+    assert found == want
+    # fixed values of the known table: its length, one of its rules and its first line
     assert len(rules) == 83
     assert sum(len(r["consequent"]) > 1 for r in rules) == 24
-    found = {(tuple(r["antecedent"]), tuple(r["consequent"])): r for r in rules}
-    rule = found[("HEX", "OMG", "XDATA"), ("LPT",)]
-    assert rule["confidence"] == 0.9834437086092715
-    assert rule["lift"] == 2.612883284585048
-    assert rule["support"] == 0.19323357189329862
+    assert found[("HEX", "OMG", "XDATA"), ("LPT",)] == (0.9834437086092715, 2.612883284585048, 0.19323357189329862)
     top = by_confidence(association_rules(golden, BASKETS, 0.7)).first()
     assert top["confidence"] == 0.9940758293838863 and top["lift"] == 2.6411314602645346
 
@@ -87,8 +95,14 @@ def test_rules_edge_cases(spark, golden):
     none = association_rules(golden.limit(0), 10, 0.5)
     assert none.columns == ["antecedent", "consequent", "confidence", "lift", "support"]
     assert none.isEmpty()
-    with pytest.raises(Exception, match="more than 2 items"):
-        association_rules(golden, BASKETS, 0.7, max_len=2).count()
+
+
+def test_rules_of_long_sets(spark):
+    items = [f"i{n:02d}" for n in range(24)]
+    rows = [(items, 9), *(([x for x in items if x != y], 10) for y in items), *(([x], 20) for x in items)]
+    rules = association_rules(spark.createDataFrame(rows, "items array<string>, freq bigint"), 40, 0.8).collect()
+    assert sorted(r["consequent"] for r in rules) == [[x] for x in items]
+    assert all((len(r["antecedent"]), r["confidence"], r["lift"]) == (23, 0.9, 1.8) for r in rules)
 
 
 def brute(baskets, share):
