@@ -77,28 +77,26 @@ named AS (SELECT *, chain || '_' || token AS item FROM holdings)"""
 )
 
 
-def _itemsets(pairs: str, support: float, depth: int) -> str:
-    """Frequent itemsets up to ``depth`` items by self-joins of the frequent items' holders."""
-    levels = []
-    for size in range(1, depth + 1):
-        joins = "".join(
-            f" JOIN held h{i} ON h{i}.owner = h0.owner AND h{i - 1}.item < h{i}.item"
-            for i in range(1, size)
-        )
-        names = ", ".join(f"h{i}.item" for i in range(size))
-        levels.append(
-            f"SELECT [{names}] AS items, CAST(count(*) AS BIGINT) AS freq FROM held h0{joins} "
-            f"GROUP BY {names} HAVING count(*) >= (SELECT n FROM total) * {support}::DOUBLE"
-        )
+def _itemsets(pairs: str, support: float) -> str:
+    """All frequent itemsets, of any size: sets grow by one item, together with their owners."""
     return f"""
 pairs AS ({pairs}),
 total AS (SELECT count(DISTINCT owner) AS n FROM pairs),
-held AS (
-  SELECT * FROM pairs WHERE item IN (
-    SELECT item FROM pairs GROUP BY item
-    HAVING count(*) >= (SELECT n FROM total) * {support}::DOUBLE)
+singles AS (
+  SELECT item, list(owner) AS owners FROM pairs GROUP BY item
+  HAVING count(*) >= (SELECT n FROM total) * {support}::DOUBLE
 ),
-itemsets AS ({" UNION ALL ".join(levels)})"""
+itemsets AS MATERIALIZED (
+  WITH RECURSIVE grown AS (
+    SELECT [item] AS items, owners FROM singles
+    UNION ALL
+    SELECT list_append(items, item), common FROM (
+      SELECT g.items, s.item, list_intersect(g.owners, s.owners) AS common
+      FROM grown g JOIN singles s ON s.item > g.items[-1])
+    WHERE len(common) >= (SELECT n FROM total) * {support}::DOUBLE
+  )
+  SELECT items, CAST(len(owners) AS BIGINT) AS freq FROM grown
+)"""
 
 
 def _rules(confidence: float) -> str:
@@ -127,7 +125,7 @@ _BRAND_PAIRS = (
 )
 _PORTFOLIO_PAIRS = "SELECT DISTINCT owner, item FROM portfolio"
 
-_BRANDS = "WITH " + _itemsets(_BRAND_PAIRS, BRAND_SUPPORT, 4)
+_BRANDS = "WITH " + _itemsets(_BRAND_PAIRS, BRAND_SUPPORT)
 _BRANDS_AND_RULES = _BRANDS + _rules(BRAND_CONFIDENCE)
 
 
@@ -259,7 +257,7 @@ item_top AS (
 def _matches(portfolio: str) -> str:
     return (
         ", "
-        + _itemsets(portfolio, RULE_SUPPORT, 4)
+        + _itemsets(portfolio, RULE_SUPPORT)
         + _rules(RULE_CONFIDENCE)
         + """,
 own AS (SELECT owner, list(DISTINCT item) AS held FROM portfolio GROUP BY owner),
@@ -398,7 +396,7 @@ UNION ALL SELECT 'cleaned', CAST(count(DISTINCT owner) AS BIGINT) FROM kept WHER
 )
 SELECT named.owner, item, order_no, line_no, account.name_tag, priority, balance
 FROM named LEFT JOIN account ON named.owner = account.owner""",
-    "frequent_types": f"""WITH {_itemsets(_TYPE_PAIRS, TYPE_SUPPORT, 6)}
+    "frequent_types": f"""WITH {_itemsets(_TYPE_PAIRS, TYPE_SUPPORT)}
 SELECT array_to_string(items, '|') AS items, freq,
        round(freq / (SELECT n FROM total)::DOUBLE, 6) AS support FROM itemsets""",
     "frequent_brands": f"{_BRANDS} SELECT array_to_string(items, '|') AS items, freq FROM itemsets",
@@ -414,7 +412,7 @@ FROM rules""",
 SELECT min_support, CAST(count(*) AS BIGINT) AS n_itemsets
 FROM itemsets JOIN {_values(BRAND_SUPPORTS, "min_support")}
   ON freq >= min_support * (SELECT n FROM total) GROUP BY min_support""",
-    "rule_grid": f"""{"WITH " + _itemsets(_BRAND_PAIRS, BRAND_SUPPORT, 4) + _rules(min(BRAND_CONFIDENCES))}
+    "rule_grid": f"""{"WITH " + _itemsets(_BRAND_PAIRS, BRAND_SUPPORT) + _rules(min(BRAND_CONFIDENCES))}
 SELECT min_support, min_confidence, CAST(count(*) AS BIGINT) AS n_rules
 FROM rules JOIN {_values(BRAND_SUPPORTS, "min_support")} ON support >= min_support
   JOIN {_values(BRAND_CONFIDENCES, "min_confidence")} ON confidence >= min_confidence
@@ -424,7 +422,7 @@ GROUP BY min_support, min_confidence""",
     + ","
     + _itemsets(
         "SELECT owner, item FROM all_pairs JOIN split USING (owner) WHERE split = 'train'",
-        BRAND_SUPPORT, 4,
+        BRAND_SUPPORT,
     )
     + """
 SELECT array_to_string(items, '|') AS items, freq, CAST((SELECT n FROM total) AS INTEGER) AS n_train
