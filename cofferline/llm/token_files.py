@@ -42,6 +42,9 @@ _WITH_CHECKSUMS = 0x80
 _NO_ID = -(2**63)  # a null doc_id in the index
 _MEMO_LIMIT = 400_000
 _CHUNK_WORDS = 200_000
+#: A capital before any mark: composing comes before lowering, so such stretches are left as they are.
+_MARKED = re.compile(rb"[A-Z][\x80-\xff]")
+_STRETCH = re.compile(rb"\S+")
 _LONE_MARK = re.compile(rb"(?<=[a-z])[,.](?=[ \n]|\Z)")
 _OUT_TOKENS = 4_000_000  # ids gathered before a reader hands on a batch
 
@@ -142,12 +145,17 @@ class FrameReader:
 # -- tokens -----------------------------------------------------------------------------------
 
 
+def _lowered(stretch: re.Match) -> bytes:
+    return stretch[0] if _MARKED.search(stretch[0]) else stretch[0].lower()
+
+
 def _stretches(text: str | None) -> list[bytes]:
     """Parts of a text that the tokenizer treats alone, in few forms: it never joins across ASCII white
     space, lowers the case, and takes a comma or stop between a letter and white space by itself."""
     data = text.encode() if text else b""
     if b"<|" not in data:  # names of special tokens keep their case
-        data = _LONE_MARK.sub(rb" \g<0>", data.lower())
+        low = _STRETCH.sub(_lowered, data) if _MARKED.search(data) else data.lower()
+        data = _LONE_MARK.sub(rb" \g<0>", low)
     return data.split()
 
 

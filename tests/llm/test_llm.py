@@ -226,6 +226,14 @@ def test_personal_data(spark, docs):
     assert pii.find_in_text("call (312) 555-1234 now", pii.fit(docs.limit(0))) == []
 
 
+@pytest.mark.parametrize("text", ["H\u0331a bcd", "T\u0308a, x", "J\u030can. Y\u030a W\u030a", "H\u0323\u0331A\u0301 Ab, SÃO. Paulo", "One\tTwo, Ta\u0308. <|X|> "])
+def test_capitals_with_marks(text):
+    tokenizer_file = public_tokenizers.path("word_bpe_49k.json")
+    memory = token_files.WordMemory(open(tokenizer_file, encoding="utf-8").read())
+    want = Tokenizer.from_file(tokenizer_file).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(next(memory.encode([text])), "<u4").tolist() == want
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
