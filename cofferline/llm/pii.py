@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field that finds variants.
 
-The patterns give the base spans. Around digits and ``@`` the text is cut into atoms; a segment is up
-to ``_LONGEST`` atoms with one type, scored by features of the whole span. Dynamic programming over
+The patterns give the base spans. Around digits, ``@`` and their spoken or bracketed forms the text is
+cut into atoms; a segment is up to ``_LONGEST`` atoms with one type, scored by features of the whole span. Dynamic programming over
 boundaries and types together gives the best segmentation. The field is trained on a bounded sample
 of base spans and of variants made from them, by gradient steps on the exact likelihood.
 """
@@ -92,13 +92,27 @@ def _small(part: str) -> bool:
 # -- the field --------------------------------------------------------------------------------
 
 _ATOM = re.compile(r"[A-Za-z\u0080-\U0010ffff]+|[0-9]+|[^\sA-Za-z0-9\u0080-\U0010ffff]")
-_STEP = re.compile(r"[0-9@][^\s]*")
-_SMALL_WORDS = frozenset(("at", "dot"))
+_LETTER = r"[A-Za-z\u0080-\U0010ffff]"
+_STEP = re.compile(
+    rf"[0-9@]\S*|(?<!{_LETTER})(?:[Aa][Tt]|[Dd][Oo][Tt])(?!{_LETTER})\S*|[\[({{<]\.[\])}}>]\S*|(?<!\S)\.(?!\S)"
+)
+#: Two plain words with nothing but white space between them, and the beginning of a further label.
+_LOOSE = re.compile(rf"(?<!{_LETTER})(?!at\s|dot\s)(?={_LETTER}+\s+(?!(?:at|dot)(?!{_LETTER})){_LETTER})", re.I)
+_MORE = re.compile(rf"\.{_LETTER}|\s*[\[({{<]?\s*(?:\.|dot)\s*[\])}}>]\s*[A-Za-z0-9]|\s+(?:dot|\.)\s+[A-Za-z0-9]", re.I)
+_DOT_WORD = re.compile(rf"(?<!{_LETTER})dot(?!{_LETTER})", re.I)
+_AT_WORD = re.compile(rf"(?<!{_LETTER})at(?!{_LETTER})", re.I)
+#: The word at, and names joined by points after it: ``[at] example.com``, ``(at) example[.]com``.
+_TAIL = re.compile(
+    rf"(?<!{_LETTER})at(?!{_LETTER})[\s\])}}>]*"
+    rf"(?:[A-Za-z0-9\u0080-\U0010ffff-]+(?:\.|\s*[\[({{<]\s*\.\s*[\])}}>]\s*|\s+\.\s+))+{_LETTER}",
+    re.I,
+)
 _CUES = frozenset("tel phone call mobile fax cell mail email card visa ip host address".split())
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and ``@``: three words before and after, joined where they meet."""
+    """Stretches around digits, ``@``, the words at and dot, and points in brackets or by themselves: three
+    words before and after, joined where they meet. Those that can't hold personal data are left out."""
     out: list[tuple[int, int]] = []
     at = 0
     while found := _STEP.search(text, at):
@@ -118,7 +132,17 @@ def regions(text: str) -> list[tuple[int, int]]:
         else:
             out.append((start, end))
         at = end
-    return out
+    return [(start, end) for start, end in out if _possible(text[start:end])]
+
+
+def _spoken(span: str) -> bool:
+    """Whether a span has the word at, and the word dot or a domain after it."""
+    return bool(_AT_WORD.search(span) and (_DOT_WORD.search(span) or _TAIL.search(span)))
+
+
+def _possible(region: str) -> bool:
+    """False only where no span of the region has features."""
+    return bool(_SIGN.search(region)) or _spoken(region)
 
 
 def _bucket(n: int, edges: tuple[int, ...]) -> int:
@@ -134,13 +158,15 @@ def span_features(text: str, atoms: list[tuple[int, int]], first: int, end: int)
         return []
     digits = _digits(span)
     words = [text[a:b].lower() for a, b in atoms[first:end] if text[a].isalpha()]
-    spoken = "at" in words and "dot" in words
-    if len(digits) < 7 and "@" not in span and not spoken:
+    spoken = "at" in words and text[atoms[first][0] : atoms[first][1]].lower() != "at"
+    spoken = spoken and ("dot" in words[words.index("at") + 1 :] or bool(_TAIL.search(span)))
+    groups = [text[a:b] for a, b in atoms[first:end] if text[a] in "0123456789"]
+    four = len(groups) == 4 and not words
+    if len(digits) < 7 and "@" not in span and not spoken and not four:
         return []
     before = text[start - 1] if start else " "
     after = text[stop] if stop < len(text) else " "
     marks = "".join(sorted({c for c in span if not c.isalnum()}))
-    groups = [len(text[a:b]) for a, b in atoms[first:end] if text[a].isdigit()]
     out = [
         "bias",
         f"digits{_bucket(len(digits), (0, 3, 6, 7, 8, 9, 10, 11, 12, 15, 16, 19))}",
@@ -155,12 +181,13 @@ def span_features(text: str, atoms: list[tuple[int, int]], first: int, end: int)
         f"lines{after == '.' or after.isspace()}",
     ]
     if not words:
-        out.append("groups" + "-".join(map(str, groups[:6])))
+        out.append("groups" + "-".join(str(len(group)) for group in groups[:6]))
         if 13 <= len(digits) <= 19:
             out.append(f"luhn{luhn(digits)}")
-        if marks == "." and len(groups) == 4:
-            out.append(f"octets{all(_small(part) for part in span.split('.') if part)}")
+        if four and "." in marks:
+            out.append(f"octets{all(map(_small, groups))}")
     else:
+        out += [f"loose{min(len(_LOOSE.findall(span)), 2)}", f"more{bool(_MORE.match(text, stop))}"]
         out += [f"spoken{spoken}", f"final{_bucket(len(words[-1]), (1, 3, 6))}", f"firstword{words[0] in _CUES}"]
     if first and text[atoms[first - 1][0] : atoms[first - 1][1]].lower() in _CUES:
         out.append("cue")
@@ -261,6 +288,19 @@ def train(cases: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = _EP
     return {name: own for name, own in weights.items() if any(own)}
 
 
+def _written(name: str, host: str, draw: random.Random) -> str:
+    """An e-mail address in one of the forms that the fixed pattern doesn't fit."""
+    return draw.choice([f"{name} at {host.replace('.', ' dot ')}", f"{name} [at] {host}", f"{name}(at){host}", f"{name} @ {host}"])
+
+
+def _put(text: str, spans: list[tuple[str, int, int]], old: tuple[str, int, int], new: str, keep: bool = True):
+    """The case with ``new`` in place of one span; the span stays marked if ``keep``."""
+    kind, start, end = old
+    shift = len(new) - (end - start)
+    moved = [(k, a + shift * (a >= end), b + shift * (a >= end)) for k, a, b in spans if b <= start or a >= end]
+    return text[:start] + new + text[end:], moved + [(kind, start, start + len(new))] * keep
+
+
 def _variants(text: str, spans: list[tuple[str, int, int]], draw: random.Random) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """The case itself, and forms of it that people write as well or that only look alike."""
     out = [(text, spans)]
@@ -268,7 +308,10 @@ def _variants(text: str, spans: list[tuple[str, int, int]], draw: random.Random)
         old, keep = text[start:end], True
         if kind == "email":
             name, _, host = old.rpartition("@")
-            new = draw.choice([f"{name} at {host.replace('.', ' dot ')}", f"{name} [at] {host}", f"{name}(at){host}", f"{name} @ {host}"])
+            new = _written(name, host, draw)
+            # the same with a plain name and a short host
+            short = _written(re.split(r"[._%+-]", name)[0] or name, ".".join(host.split(".")[-2:]), draw)
+            out.append(_put(text, spans, (kind, start, end), short))
         elif kind == "phone":
             bare = _digits(old)
             ten = bare[-10:]
@@ -286,11 +329,7 @@ def _variants(text: str, spans: list[tuple[str, int, int]], draw: random.Random)
             new, keep = ".".join([*parts[:3], str(300 + draw.randrange(600))]), False
         else:
             new = old.replace(".", draw.choice([" . ", "[.]", "(.)"]))
-        shift = len(new) - (end - start)
-        moved = [
-            (k, a + shift * (a >= end), b + shift * (a >= end)) for k, a, b in spans if b <= start or a >= end
-        ]
-        out.append((text[:start] + new + text[end:], moved + [(kind, start, start + len(new))] * keep))
+        out.append(_put(text, spans, (kind, start, end), new, keep))
     return out
 
 
@@ -298,7 +337,7 @@ def _training_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     for batch in batches:
         found = []
         for text in values_of(batch.column(0)):
-            if text and _SIGN.search(text):
+            if text:
                 found += [text[a:b] for a, b in regions(text) if b - a < 8 * _MAX_ATOMS]
         yield pa.RecordBatch.from_pydict({"region": pa.array(found, pa.string())})
 
@@ -334,7 +373,7 @@ def find_in_text(text: str | None, weights: dict | None) -> list[tuple[str, int,
     if not text:
         return []
     out = [(*span, True) for span in base_spans(text)]
-    if weights and (_SIGN.search(text)):
+    if weights:
         fixed = [(start, end) for _, start, end, _ in out]
         for first, last in regions(text):
             for kind, start, end in decode(text[first:last], weights):

@@ -226,6 +226,30 @@ def test_personal_data(spark, docs):
     assert pii.find_in_text("call (312) 555-1234 now", pii.fit(docs.limit(0))) == []
 
 
+@pytest.fixture(scope="module")
+def field(spark):
+    return pii.fit(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+FORMS = [
+    ("email", "jane at example dot com"), ("email", "jane [at] example.com"), ("email", "jane(at)example.com"), ("email", "jane @ example.com"),
+    ("email", "el.01 at mail8 dot example dot com"), ("email", "el.01 [at] mail8.example.com"), ("email", "el.01(at)mail8.example.com"),
+    ("ip", "10[.]0[.]0[.]1"), ("ip", "8 . 8 . 8 . 8"), ("ip", "10(.)0(.)0(.)1"), ("ip", "192[.]168[.]10[.]200"),
+]
+
+
+@pytest.mark.parametrize("kind,form", FORMS)
+def test_written_forms(field, kind, form):
+    far = "and so on " * 20
+    for text in (f"{far}please write to {form} for more {far}", f"{form} is it"):
+        assert (kind, text.index(form), text.index(form) + len(form), False) in pii.find_in_text(text, field)
+
+
+@pytest.mark.parametrize("text", ["He was at home. Then he left at noon.", "we saw 1, 2, 3, 4 of them", "a rise at 3.5 percent", "a dot at the end of it."])
+def test_no_forms(field, text):
+    assert pii.find_in_text(text, field) == []
+
+
 @pytest.mark.parametrize("text", ["H\u0331a bcd", "T\u0308a, x", "J\u030can. Y\u030a W\u030a", "H\u0323\u0331A\u0301 Ab, SÃO. Paulo", "One\tTwo, Ta\u0308. <|X|> "])
 def test_capitals_with_marks(text):
     tokenizer_file = public_tokenizers.path("word_bpe_49k.json")
