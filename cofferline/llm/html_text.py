@@ -3,7 +3,8 @@
 The page is parsed to a tree, furniture (menus, headers, footers, side bars, notices, adverts, forms,
 scripts, reader comments) is cut off, paragraphs pass points for length and commas to their
 ancestors, a container's points are discounted by its share of link text, and the best container is
-kept with those of its siblings that score or read like text.
+kept with everything around it that is not mostly links; where the page marks its main part, only
+siblings that score or read like text are added to it.
 """
 
 from __future__ import annotations
@@ -56,6 +57,8 @@ _FURNITURE = re.compile(
 )
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _KEEP_AT_LEAST = 10.0
+#: A part beside the best container is kept while less of its text than this is in links.
+_MOST_LINKED = 0.5
 
 
 class Node:
@@ -213,17 +216,70 @@ def _containers(root: Node) -> list[Node]:
     best = marked or best
     if best.parent is None or best.tag in ("body", "html"):
         return [best]
+    return _beside_marked(best) if marked else _around(best)
+
+
+def _links(parts: list[Node | str]) -> float:
+    chars = sum(len(" ".join(part.split())) if isinstance(part, str) else part.chars for part in parts)
+    return sum(part.linked for part in parts if isinstance(part, Node)) / chars if chars else 1.0
+
+
+def _beside_marked(best: Node) -> list[Node]:
+    """An element that the page marks as its main part, and siblings that score or read like text."""
     least, kept = max(_KEEP_AT_LEAST, best.score / 5), []
     for sibling in best.parent.children:
         if not isinstance(sibling, Node) or sibling.dropped:
             continue
-        links = sibling.linked / sibling.chars if sibling.chars else 1.0
+        links = _links([sibling])
         heading = sibling.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
         if sibling is best or sibling.score >= least or links < 0.25 and (heading or sibling.tag in ("p", "blockquote", "pre")):
             kept.append(sibling)
     return kept
 
 
+def _units(parent: Node, path: Node) -> Iterator[list[Node | str]]:
+    """Children of an element: blocks and ``path`` one by one, bare text with the inline elements around it."""
+    run: list[Node | str] = []
+    for child in parent.children:
+        if isinstance(child, Node) and child.dropped:
+            continue
+        if isinstance(child, Node) and (child is path or child.tag in _BLOCK or child.score > 0):
+            if run:
+                yield run
+            yield [child]
+            run = []
+        else:
+            run.append(child)
+    if run:
+        yield run
+
+
+def _around(best: Node) -> list[Node]:
+    """The best container with all that is not furniture and mostly no links beside it, up to the highest
+    element in which other parts score. An element that holds nothing else is passed through."""
+    top, node = best, best
+    while node.parent is not None and node.tag not in ("body", "html"):
+        above = node.parent
+        others = [unit for unit in _units(above, node) if unit[0] is not node and _links(unit) < _MOST_LINKED]
+        if others and (top is best or any(isinstance(part, Node) and part.score > 0 for unit in others for part in unit)):
+            top = above
+        node = above
+    kept, node = [best], best
+    while node is not top:
+        above, parts = node.parent, []
+        for unit in _units(above, node):
+            if unit[0] is node:
+                parts += kept
+            elif _links(unit) < _MOST_LINKED:
+                if len(unit) > 1 or isinstance(unit[0], str):
+                    block = Node("div", None)
+                    block.children = unit
+                    unit = [block]
+                parts += unit
+        kept, node = parts, above
+    return kept
+
+
 def _blocks(node: Node, out: list[str]) -> None:
     """Texts of the blocks below ``node`` in page order; deep trees need no recursion."""
     line: list[str] = []

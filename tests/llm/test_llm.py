@@ -161,6 +161,22 @@ def test_main_text():
     assert html_text.main_text("<p>" * 3000 + "deep" + "<a href='" * 50) != ""
 
 
+def test_main_text_in_parts():
+    long = "Words of the first part, with commas, " + "that go on " * 26
+    short = "A second part without any comma that is shorter than the first one but still text."
+    menu = "<div><a href=x>one link</a> <a href=y>another link</a></div>"
+    for parts in (
+        [f"<div><p>{long}</p></div>", f"<div><p>{short}</p></div>"],
+        [f"<div><div><p>{long}</p></div></div>", f"<div><div><p>{short}</p></div></div>"],
+        ["<section>" + f"<p>{long}</p>" * 10 + "</section>", f"<section><h2>Head</h2><p>{short}</p></section>"],
+        [f"<div><p>{long}</p><p>{long}</p></div>", "<ul><li>item</ul>", "<table><tr><td>cell</table>", "<figure><figcaption>shown</figcaption></figure>"],
+        [f"<div><p>{long}</p></div>", "Bare text with <b>bold</b> and <a href=z>a link</a> in it"],
+    ):
+        text = html_text.main_text(f"<html><body><div class=menu>menu</div><div id=content>{menu}{''.join(parts)}</div></body></html>")
+        want = [" ".join(re.sub("</?(?:b|a)\\b[^>]*>", "", block).split()) for block in re.split("<(?!/?(?:b|a)\\b)[^>]*>", "".join(parts))]
+        assert text.split("\n\n") == [block for block in want if block]
+
+
 def test_urls(spark):
     rules = url_filter.rule_table(spark, [url_filter.site_rule(*r) for r in (("block", "net/"), ("allow", "example.net/en/"), ("allow", "org/f"))])
     urls = [None, "no host", "http://A.Example.NET/en/x?y", "http://notexample.net/en/", "http://x.org/fr", "http://net", "http://a.net/?q#f", "x://://y"]
