@@ -487,26 +487,75 @@ def linked_sets(grams: list[np.ndarray], percent: int, sides: np.ndarray | None
     return out
 
 
-def _cluster(percent: int):
+def link_counts(
+    grams: list[np.ndarray], percent: int, weights: np.ndarray, sides: np.ndarray | None = None
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that join the sets to their components, and for every set the weights of all that it links
+    with. Every pair is compared; pairs are counted and not kept, as there may be a square of them."""
+    sizes = np.array([len(own) for own in grams])
+    _, names, counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    holders = np.repeat(np.arange(len(grams)), sizes)[np.argsort(names, kind="stable")]
+    stop, end = np.cumsum(counts), np.cumsum(sizes)
+    at = stop - counts  # in the holders of a gram, the first set that is still to come
+    out, totals, label = [], np.zeros(len(grams), np.int64), np.arange(len(grams))
+    for number, size in enumerate(sizes.tolist()):
+        own = names[end[number] - size : end[number]]
+        at[own] += 1
+        shared = own[at[own] < stop[own]]
+        if not len(shared):
+            continue
+        later = [holders[a:b] for a, b in zip(at[shared].tolist(), stop[shared].tolist(), strict=True)]
+        overlap = np.bincount(np.concatenate(later) - number)
+        others = np.flatnonzero(overlap)
+        fit = overlap[others] >= needed(size, sizes[others + number], percent)
+        others = others[fit] + number
+        if sides is not None:
+            others = others[sides[others] != sides[number]]
+        totals[number] += weights[others].sum()
+        totals[others] += weights[number]
+        met, first = np.unique(label[others], return_index=True)
+        for own_label, other in zip(met.tolist(), others[first].tolist(), strict=True):
+            if own_label != label[number]:
+                out.append((number, other))
+        if (met != label[number]).any():
+            label[np.isin(label, met)] = label[number]
+    return out, totals
+
+
+def _cluster(percent: int, counted: bool = False):
     def links(table: pa.Table) -> pa.Table:
         roots, reps = table["root"].to_numpy(), table["rep"].to_numpy()
         parts, wanted = table["part"].to_numpy(), table["i"].to_numpy()
         other = table["j"].to_numpy()
-        order = np.lexsort((reps, roots))
+        digests = table["digest"].to_pylist()
+        copies = table["copies"].to_numpy() if counted else None
+        _, sets_of = np.unique(np.array([digest.hex() for digest in digests]), return_inverse=True)
+        order = np.lexsort((sets_of, reps, roots))
         edges = np.flatnonzero(np.concatenate(([True], np.diff(roots[order]) != 0, [True])))
         grams = table["grams"].to_pylist()
-        a, b = [], []
+        a, b, names, totals = [], [], [], []
         for start, end in zip(edges[:-1], edges[1:], strict=True):
             rows = order[start:end]
-            rows = rows[np.concatenate(([True], np.diff(reps[rows]) != 0))]  # repeated rows of one document
+            # repeated rows of one document; its other texts have sets of their own
+            rows = rows[np.concatenate(([True], (np.diff(reps[rows]) != 0) | (np.diff(sets_of[rows]) != 0)))]
             if len(rows) < 2:
                 continue
             sets = [np.frombuffer(grams[row], np.uint64) for row in rows]
             sides = parts[rows] if wanted[rows[0]] != other[rows[0]] else None
-            for x, y in linked_sets(sets, percent, sides):
+            if counted:
+                found, sums = link_counts(sets, percent, copies[rows], sides)
+                names += [digests[row] for row in rows]
+                totals += sums.tolist()
+            else:
+                found = linked_sets(sets, percent, sides)
+            for x, y in found:
                 a.append(reps[rows[x]])
                 b.append(reps[rows[y]])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        if not counted:
+            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        columns = (a + [None] * len(names), b + [None] * len(names), [None] * len(a) + names, [None] * len(a) + totals)
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
+        return pa.table([pa.array(own, kind) for own, kind in zip(columns, kinds, strict=True)], names=["a", "b", "digest", "n_links"])
 
     return links
 
@@ -538,7 +587,7 @@ _BROADCAST_ROWS = 500_000  # of two longs each: 8 MB
 
 
 def jaccard_components(
-    docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", counted: bool = False
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles (size of its set) and component_id, the smallest doc_id
     that links reach from it, itself included.
@@ -549,40 +598,56 @@ def jaccard_components(
     document with several texts. Rows without a doc_id link with nothing and get a null component.
     Exact copies are one set from the start, so groups of them cost nothing. An empty table gives no
     rows.
+
+    With ``counted`` also n_links, the number of documents that link with the row's text, itself left
+    out; no link is skipped. A document with several texts counts once for each.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     frequent = frequent_grams(rows, shingle, percent)
     shared = spark.sparkContext.broadcast(frequent.tobytes())
     sketch = stored(rows.mapInArrow(_sketcher(shingle, percent, shared), _SKETCH), "sketch")
+    usable = sketch.filter("n > 0 and doc_id is not null")
     sets = (
-        sketch.filter("n > 0 and doc_id is not null")
-        .groupBy("digest")
+        usable.groupBy("digest")
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     )
+    if counted:
+        copies = usable.select("digest", "doc_id").distinct().groupBy("digest").agg(F.count("*").alias("copies"))
+        sets = sets.join(copies, "digest")
     sets = stored(sets, "sets")
     clusters = smallest_reachable(_candidates(sets, percent), "a", "b")
     clusters = stored(clusters.withColumnRenamed("node", "rep"), "clusters")
-    links = _links_in_clusters(rows, sets, clusters, shingle, percent)
+    links = _links_in_clusters(rows, sets, clusters, shingle, percent, counted)
     found = smallest_reachable(links, "a", "b")
     named = sets.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     component = named.select("digest", F.coalesce("root", "rep").alias("component_id"))
+    more = []
+    if counted:
+        sums = links.filter("digest is not null").groupBy("digest").agg(F.sum("n_links").alias("others"))
+        own = sets.select("digest", "copies").join(sums, "digest", "left")
+        own = own.select("digest", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+        component = component.join(own, "digest")
+        usable_row = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+        more = [F.when(usable_row, F.col("links")).otherwise(F.lit(0)).alias("n_links")]
     return sketch.select("doc_id", "n", "digest").join(component, "digest", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.least("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *more,
     )
 
 
-def _links_in_clusters(rows: DataFrame, sets: DataFrame, clusters: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links within candidate clusters. The sets are made again from the texts, as few are needed."""
+def _links_in_clusters(rows: DataFrame, sets: DataFrame, clusters: DataFrame, shingle: int, percent: int, counted: bool) -> DataFrame:
+    """Links within candidate clusters, and with ``counted`` rows of (digest, n_links) as well. The sets are made again from the texts, as few are needed."""
     members = clusters.select(F.col("rep").alias("doc_id"), "root")
     n = members.count()
     members = F.broadcast(members) if n <= _BROADCAST_ROWS else members
     texts = rows.join(members, "doc_id").select("root", F.col("doc_id").alias("rep"), "text")
     grams = texts.mapInArrow(_gatherer(shingle), _SETS)
     # an id may have other texts besides the one that stands for its set
-    grams = grams.join(sets.select("rep", "digest"), ["rep", "digest"], "left_semi")
+    more = ["copies"] * counted
+    grams = grams.join(sets.select("rep", "digest", *more), ["rep", "digest"])
     totals = clusters.join(sets.select("rep", "n"), "rep").groupBy("root").agg(F.sum("n").alias("total"))
     totals = stored(totals.withColumn("parts", F.ceil(F.col("total") / _PART).cast("int")), "totals")
     whole = totals.filter("parts = 1").agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
@@ -595,6 +660,7 @@ def _links_in_clusters(rows: DataFrame, sets: DataFrame, clusters: DataFrame, sh
         "bin", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(-1 - F.col("root"))
     )
     placed = placed.select(
-        "bin", "root", "rep", "part", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "grams"
+        "bin", "root", "rep", "part", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "grams", "digest", *more
     )
-    return stored(placed.groupBy("bin", "i", "j").applyInArrow(_cluster(percent), "a bigint, b bigint"), "links")
+    columns = "a bigint, b bigint" + ", digest binary, n_links bigint" * counted
+    return stored(placed.groupBy("bin", "i", "j").applyInArrow(_cluster(percent, counted), columns), "links")

@@ -26,6 +26,12 @@ def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(docs, shingle=4, percent=85)
 
 
+def op1_ngram_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The join of op1_ngram_jaccard with the number of links of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.jaccard_components(docs, shingle=4, percent=85, counted=True)
+
+
 def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     found = html_text.extract_main_text(pages)
@@ -145,6 +151,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op1_ngram_links": op1_ngram_links,
     "op2_main_text": op2_main_text,
     "op3_url_filter": op3_url_filter,
     "op4_decontaminate": op4_decontaminate,
@@ -247,3 +254,8 @@ ORACLE: dict[str, str] = {
         FROM scored QUALIFY rank <= 20
     """,
 }
+
+ORACLE["op1_ngram_links"] = ORACLE["op1_ngram_jaccard"].replace(
+    "min(reach.b) AS component_id",
+    "min(reach.b) AS component_id, (SELECT count(*) FROM links WHERE links.a = d.doc_id) AS n_links",
+)

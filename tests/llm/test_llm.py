@@ -121,6 +121,24 @@ def test_jaccard(spark, monkeypatch, size, percent, paired, part):
         assert (row.component_id is None) if row.doc_id is None else (row.n_shingles, row.component_id) == (len(sets[row.doc_id]), root[row.doc_id])
 
 
+@pytest.mark.parametrize("part", [2_000_000, 60])
+def test_jaccard_links(spark, monkeypatch, part):
+    monkeypatch.setattr(jaccard, "_PAIRED", 2)
+    monkeypatch.setattr(jaccard, "_PART", part)
+    rng = random.Random(1)
+    base = [[rng.choice("abcdefghijklmnopqrst") for _ in range(30)] for _ in range(4)]
+    rows = [(0, None), (1, ""), (2, "lone words here")]
+    for n in range(10, 80):
+        words = list(rng.choice(base))
+        words[rng.randrange(30)] = rng.choice("xyz")
+        rows.append((n, " ".join(words)))
+    rows += [(n + 100, text) for n, text in rows[-6:]]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"), 2, 80, counted=True).collect()
+    sets = {n: grams(text, 2) for n, text in rows}
+    want = {a: sum(a != b and bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for b in sets) for a in sets}
+    assert {r.doc_id: r.n_links for r in got} == want and max(want.values()) > 2
+
+
 def test_reachable(spark):
     edges = [(n, n + 1) for n in range(40)] + [(100, 102), (102, 101), (7, 7), (None, 3)]
     got = {r.node: r.root for r in smallest_reachable(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()}
