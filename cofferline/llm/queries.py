@@ -12,6 +12,7 @@ from cofferline.llm import (
     html_text,
     jaccard,
     neighbours,
+    periodic_runs,
     pii,
     token_counts,
     token_files,
@@ -149,6 +150,31 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every document; a tenth of the documents is given repeats first."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    words, hashed = periodic_runs.words_of(F.col("text")), F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n, g = F.size(words), F.floor(hashed / 10)
+    first = g % n
+    period = 1 + F.floor((n - first) / (3 + g % 8))
+    chosen = F.coalesce(hashed % 10 == 0, F.lit(False)) & (n > 0)
+    text = F.when(chosen, periodic_runs.with_repeats(F.col("text"), words, first, period)).otherwise(F.col("text"))
+    found = periodic_runs.find_runs(docs.select("doc_id", text.alias("text"))).select("doc_id", "found.*")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start.cast("string"), r.length.cast("string"), r.period.cast("string")), F.lit("\n")))
+    length, period = longest["length"], -longest["period"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-longest["start"]).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op1_ngram_links": op1_ngram_links,
@@ -161,6 +187,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_neighbours": op9_neighbours,
     "op10_token_counts": op10_token_counts,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _HOSTS = """
