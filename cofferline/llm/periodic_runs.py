@@ -222,6 +222,8 @@ def runs_of(documents: list[np.ndarray], least: int) -> list[tuple[np.ndarray, n
         words, first = _joined([documents[n] for n in rows])
         places, periods = _grid_candidates(words, max(len(documents[n]) for n in rows))
         owner = np.searchsorted(first, places, "right") - 1
+        within = np.searchsorted(first, places + (_GRID - 1) * periods, "right") - 1 == owner  # of one document
+        places, periods, owner = places[within], periods[within], owner[within]
         held = np.unique(owner)
         if not len(held):
             continue

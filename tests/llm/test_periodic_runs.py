@@ -29,7 +29,7 @@ def all_runs(words, least=6):
 def test_random_words():
     rng, documents = random.Random(3), []
     for _ in range(1500):
-        kinds, n = rng.choice([1, 2, 3, 6]), rng.choice([0, 1, 5, 6, 7, 40, 150])
+        kinds, n = rng.choice([1, 2, 3, 6]), rng.choice([0, 1, 5, 6, 7, 40, 150, rng.randint(64, 127)])
         words = [rng.randrange(kinds) for _ in range(n)]
         if n and rng.random() < 0.5:
             first, period = rng.randrange(n), rng.randint(1, max(1, n // 4))
@@ -68,7 +68,8 @@ def restated(doc_id, text):
 def folder(spark, tmp_path_factory):
     rng, rows = random.Random(8), [(None, "a b " * 30), (-4, "x y\x1cz   é " * 9), (7, None), (8, ""), (9, " \t\n "), (11, "no no no no no")]
     for n in range(20, 260):
-        words = [rng.choice("abcdefg") for _ in range(rng.choice([1, 2, 3, 30, 200]))]
+        letters = rng.choice(["ab", "abcdefg"])
+        words = [rng.choice(letters) for _ in range(rng.choice([1, 2, 3, 30, 200]))]
         rows.append((n, rng.choice([" ", "\n", "\t\x0b "]).join(words)))
     rows += rows[30:40] + [(500, "the end " * 3000)]
     place = str(tmp_path_factory.mktemp("runs"))
