@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from cofferline.llm import (
     bpe,
+    collocations,
     decontaminate,
     html_text,
     jaccard,
     neighbours,
     periodic_runs,
     pii,
+    source_mix,
     token_counts,
     token_files,
     toxicity,
@@ -150,6 +152,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents").select("lang", "text"), least=100, top=2000)
+
+
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of every document; a tenth of the documents is given repeats first."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -175,6 +181,11 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = source_mix.mix(table(spark, folder, "documents").select("doc_id", "source", "text"), weights=(1.0, 2.0, 3.0), most=3)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op1_ngram_links": op1_ngram_links,
@@ -187,7 +198,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_neighbours": op9_neighbours,
     "op10_token_counts": op10_token_counts,
+    "op11_collocations": op11_collocations,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_source_mix": op13_source_mix,
 }
 
 _HOSTS = """
