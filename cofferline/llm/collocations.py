@@ -8,10 +8,10 @@ it, and so on down to single words. Sorted by their words, the edges and correct
 hold all flows as sums over common beginnings, which one pass takes; beginnings that two neighbouring
 partitions share are summed afterwards, so no node is gathered, however heavy.
 
-Before edges are made, walks are cut where no frequent phrase can pass: at rare words and between
-words that are a rare pair. Two bitmaps of bounded size tell both; a bit that several words share
-makes a walk longer than needed and never changes a count. Nodes all of whose flow runs along one edge
-are compacted into it: the phrase of such a node lies in a longer one of the same count.
+Before edges are made, walks are cut at rare words, through which no frequent phrase can pass. A bitmap
+of bounded size tells them; a bit that several words share makes a walk longer than needed and never
+changes a count. Nodes all of whose flow runs along one edge are compacted into it: the phrase of such
+a node lies in a longer one of the same count.
 
 Words are 64-bit hashes of language and word. Whether two words share one is looked up for the whole
 vocabulary; if so, all is counted with another seed.
@@ -36,11 +36,11 @@ MOST_WORDS = 5
 _GRAM = [f"g{n}" for n in range(1, MOST_WORDS + 1)]
 _EDGES = ", ".join(f"{g} bigint" for g in _GRAM) + ", n bigint"
 _VOCABULARY = "lang string, word string, hash bigint, n bigint"
-_PAIRS = "g1 bigint, g2 bigint, n bigint"
-_CHUNK_WORDS = 2_000_000
+_CHUNK_WORDS = 2_000_000  # below 2**21: three words of a chunk fit one number
+_SAMPLE_TEXTS, _SAMPLE_STEP = 2000, 50  # where partitions begin is read from every 50th edge of some texts
 _MEMORY = 1_000_000  # hashes a task remembers
 _BITMAP_BITS = 8 * 4096  # fixed: bits of one row of Spark's bitmap aggregates
-_ROUGH_BITS = 27  # each bitmap has 2**27 bits, 16 MB
+_ROUGH_BITS = 27  # the bitmap has 2**27 bits, 16 MB
 
 # fixed: separators of pieces and of words, in bytes
 _TABLE = bytearray(range(256))
@@ -98,21 +98,25 @@ def _chunk(hashes: list[int], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]
     return np.array(hashes, np.int64), ends - np.arange(len(ends))
 
 
-def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows and their number. Rows are sorted by a mix of their columns; equal rows that a
-    clash of mixes keeps apart come out twice, which later sums mend."""
-    mixed = np.zeros(len(columns[0]), np.uint64)
-    for column in columns:
-        mixed = (mixed ^ column.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(32)
-    order = np.argsort(mixed)
-    columns = [column[order] for column in columns]
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for column in columns:
-        new[1:] |= column[1:] != column[:-1]
-    first = np.flatnonzero(new)
-    return [column[first] for column in columns], np.diff(np.append(first, len(order)))
+def _grams_at(hashes: np.ndarray, left: np.ndarray, frequent: np.ndarray, first: int, stop: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct edges and closing grams that start at the places ``first`` to ``stop``, in the order of
+    their words, and how often each does."""
+    end = len(hashes) - 1
+    at = np.flatnonzero(frequent[first:stop]) + first
+    open_, columns = np.ones(len(at), bool), [hashes[at]]
+    for n in range(1, MOST_WORDS):
+        place = np.minimum(at + n, end)
+        open_ = open_ & (left[at] > n) & frequent[place]
+        columns.append(np.where(open_, hashes[place], 0))
+    # numbers in the order of the hashes, 21 bits each
+    names, numbers = np.unique(np.concatenate([*columns, np.zeros(1, np.int64)]), return_inverse=True)
+    parts = [part.astype(np.uint64) for part in np.split(numbers[:-1], MOST_WORDS)]
+    high = parts[0] << np.uint64(42) | parts[1] << np.uint64(21) | parts[2]
+    low = parts[3] << np.uint64(21) | parts[4]
+    order = np.lexsort((low, high))
+    new = np.concatenate(([True], (np.diff(high[order]) != 0) | (np.diff(low[order]) != 0)))[: len(order)]
+    begin = np.flatnonzero(new)
+    return [column[order][begin] for column in columns], np.diff(np.append(begin, len(order)))
 
 
 def _batches(columns: list[np.ndarray], names: list[str], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
@@ -154,11 +158,9 @@ def _count_words(seed: int):
     return count
 
 
-def _slots(*columns: np.ndarray, bits: int) -> np.ndarray:
-    """Place of a gram in a bitmap."""
-    mixed = np.zeros(len(columns[0]), np.uint64)
-    for column in columns:
-        mixed = mixed * np.uint64(31) + column.view(np.uint64)
+def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Place of a word in the bitmap."""
+    mixed = hashes.view(np.uint64)
     return ((mixed ^ (mixed >> np.uint64(29))) & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
@@ -179,53 +181,57 @@ def _bitmap(slots: DataFrame, bits: int) -> bytes:
     return out.tobytes()
 
 
-def _slot_rows(names: list[str], bits: int):
+def _slot_rows(bits: int):
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(name).to_numpy() for name in names]
             # buckets of Spark's bitmaps begin with 1
-            yield pa.RecordBatch.from_arrays([pa.array(_slots(*columns, bits=bits) + 1, pa.int64())], ["slot"])
+            yield pa.RecordBatch.from_arrays([pa.array(_slots(batch.column(0).to_numpy(), bits) + 1, pa.int64())], ["slot"])
 
     return slots
 
 
-def _frequent_bits(grams: DataFrame, names: list[str], bits: int):
-    """A bitmap of the given grams, sent to all tasks."""
-    slots = grams.select(*names).mapInArrow(_slot_rows(names, bits), "slot bigint")
-    return grams.sparkSession.sparkContext.broadcast(_bitmap(slots, bits))
+def _frequent_bits(words: DataFrame, bits: int):
+    """A bitmap of the hashes of the given words, sent to all tasks."""
+    slots = words.select("hash").mapInArrow(_slot_rows(bits), "slot bigint")
+    return words.sparkSession.sparkContext.broadcast(_bitmap(slots, bits))
 
 
-def _count_pairs(seed: int, words, bits: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _make_edges(seed: int, words, bits: int, bounds: list[tuple[int, ...]], step: int = 1):
+    """Edges and closing grams, and the part they belong to; with ``step``, only some, for a sample."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(words.value, np.uint8)
         for hashes, left in _walks(batches, seed):
-            frequent = _marked(bitmap, _slots(hashes, bits=bits))
-            first = np.flatnonzero(frequent[:-1] & frequent[1:] & (left[:-1] > 1))
-            columns, n = _counted([hashes[first], hashes[first + 1]])
-            yield from _batches([*columns, n], ["g1", "g2", "n"])
+            frequent = _marked(bitmap, _slots(hashes, bits))
+            for first in range(0, len(hashes), _CHUNK_WORDS):  # one text may be longer than a chunk
+                columns, n = _grams_at(hashes, left, frequent, first, first + _CHUNK_WORDS)
+                if step > 1:
+                    columns, n = [column[::step] for column in columns], n[::step]
+                ends = [_place(columns, bound) for bound in bounds]
+                part = np.searchsorted(np.array(ends, np.int64), np.arange(len(n)), "right")
+                yield from _batches([*columns, n, part], [*_GRAM, "n", "part"])
 
-    return count
+    return make
 
 
-def _make_edges(seed: int, words, pairs, bits: int):
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = np.frombuffer(words.value, np.uint8), np.frombuffer(pairs.value, np.uint8)
-        for hashes, left in _walks(batches, seed):
-            frequent = _marked(one, _slots(hashes, bits=bits))
-            after = np.zeros(len(hashes), bool)
-            after[:-1] = (left[:-1] > 1) & frequent[:-1] & frequent[1:]
-            some = np.flatnonzero(after)
-            after[some] = _marked(two, _slots(hashes[some], hashes[some + 1], bits=bits))
-            at = np.flatnonzero(frequent)
-            columns, open_ = [hashes[at]], np.ones(len(at), bool)
-            end = len(hashes) - 1  # no walk leads on from there
-            for n in range(1, MOST_WORDS):
-                open_ = open_ & after[np.minimum(at + n - 1, end)]
-                columns.append(np.where(open_, hashes[np.minimum(at + n, end)], 0))
-            columns, n = _counted(columns)
-            yield from _batches([*columns, n], [*_GRAM, "n"])
+def _place(columns: list[np.ndarray], bound: tuple[int, ...]) -> int:
+    """How many of the sorted rows come before ``bound``."""
+    low, high = 0, len(columns[0])
+    for column, value in zip(columns, bound, strict=True):
+        part = column[low:high]
+        low, high = low + int(np.searchsorted(part, value)), low + int(np.searchsorted(part, value, "right"))
+    return low
 
-    return make
+
+def _bounds(docs: DataFrame, seed: int, words, bits: int, parts: int) -> list[tuple[int, ...]]:
+    """First grams of the parts but the first: quantiles of a bounded sample. They only decide how even
+    the parts are."""
+    share = _SAMPLE_TEXTS / max(docs.count(), 1)
+    some = docs.sample(share, seed=1) if share < 1 else docs
+    edges = some.mapInArrow(_make_edges(seed, words, bits, [], _SAMPLE_STEP), f"{_EDGES}, part bigint")
+    table = edges.select(*_GRAM).limit(parts * 10_000).toArrow()
+    rows = sorted(zip(*(table[g].to_pylist() for g in _GRAM), strict=True))
+    return sorted({rows[len(rows) * n // parts] for n in range(1, parts)}) if rows else []
 
 
 def _flows(least: int):
@@ -278,11 +284,11 @@ def _told(begin: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
 def gram_counts(docs: DataFrame, least: int, seed: int, vocabulary: DataFrame, bits: int = _ROUGH_BITS) -> DataFrame:
     """(g1..g5, n): all grams of 1 to 5 words with at least ``least`` occurrences, words as hashes and 0
     where a gram has ended. ``docs`` has the columns lang and text, ``vocabulary`` comes from ``_vocabulary``."""
-    words = _frequent_bits(vocabulary.filter(F.col("n") >= least), ["hash"], bits)
-    counted = docs.mapInArrow(_count_pairs(seed, words, bits), _PAIRS).groupBy("g1", "g2").agg(F.sum("n").alias("n"))
-    pairs = _frequent_bits(counted.filter(F.col("n") >= least), ["g1", "g2"], bits)
-    edges = stored(docs.mapInArrow(_make_edges(seed, words, pairs, bits), _EDGES), "edges")
-    ordered = edges.repartitionByRange(*_GRAM).sortWithinPartitions(*_GRAM)
+    words = _frequent_bits(vocabulary.filter(F.col("n") >= least), bits)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _bounds(docs, seed, words, bits, parts)
+    edges = docs.mapInArrow(_make_edges(seed, words, bits, bounds), f"{_EDGES}, part bigint")
+    ordered = edges.repartitionById(len(bounds) + 1, F.col("part").cast("int")).drop("part").sortWithinPartitions(*_GRAM)
     counts = ordered.mapInArrow(_flows(least), _EDGES).groupBy(*_GRAM).agg(F.sum("n").alias("n"))
     return stored(counts.filter(F.col("n") >= least), "grams")
 
@@ -391,8 +397,8 @@ def collocations(
     Ties in rank go to the larger a, then to the phrase in byte order.
 
     A null language is ``und``; null, empty and blank texts have no words; repeated rows count each; an
-    empty table gives no rows; other columns take no part. ``bits`` sets the size of the two bitmaps,
-    2**bits bits each: small ones make the job slower, never the result another one.
+    empty table gives no rows; other columns take no part. ``bits`` sets the size of the bitmap,
+    2**bits bits: a small one makes the job slower, never the result another one.
     """
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     vocabulary, seed = _vocabulary(texts)
