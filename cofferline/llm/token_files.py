@@ -42,10 +42,16 @@ _WITH_CHECKSUMS = 0x80
 _NO_ID = -(2**63)  # a null doc_id in the index
 _MEMO_LIMIT = 400_000
 _CHUNK_WORDS = 200_000
-#: A capital before any mark: composing comes before lowering, so such stretches are left as they are.
-_MARKED = re.compile(rb"[A-Z][\x80-\xff]")
+#: Lead bytes of the marks that compose with an ASCII letter. Composing comes before lowering, so a
+#: capital before one of them is left as it is.
+_MARKS = (b"\xcc", b"\xcd")
+_MARKED = re.compile(rb"[A-Z][\xcc\xcd]")
 _STRETCH = re.compile(rb"\S+")
-_LONE_MARK = re.compile(rb"(?<=[a-z])[,.](?=[ \n]|\Z)")
+#: Latin letters and then ASCII marks but the apostrophe: two pre-tokens, or one without marks.
+_SIMPLE = re.compile(r"([a-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: What stands for each byte in a byte-level vocabulary: itself where it can be printed, else the next free one.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LEVEL = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 _OUT_TOKENS = 4_000_000  # ids gathered before a reader hands on a batch
 
 MANIFEST = "path string, first_id bigint, n_docs bigint, n_tokens bigint"
@@ -151,12 +157,13 @@ def _lowered(stretch: re.Match) -> bytes:
 
 def _stretches(text: str | None) -> list[bytes]:
     """Parts of a text that the tokenizer treats alone, in few forms: it never joins across ASCII white
-    space, lowers the case, and takes a comma or stop between a letter and white space by itself."""
+    space, and lowers the case."""
     data = text.encode() if text else b""
-    if b"<|" not in data:  # names of special tokens keep their case
-        low = _STRETCH.sub(_lowered, data) if _MARKED.search(data) else data.lower()
-        data = _LONE_MARK.sub(rb" \g<0>", low)
-    return data.split()
+    if b"<|" in data:  # names of special tokens keep their case
+        return data.split()
+    if any(mark in data for mark in _MARKS) and _MARKED.search(data):
+        return _STRETCH.sub(_lowered, data).split()
+    return data.lower().split()
 
 
 class WordMemory(dict):
@@ -164,15 +171,34 @@ class WordMemory(dict):
 
     def __init__(self, tokenizer_json: str):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.model, self.parts = self.tokenizer.model, {"": b""}
+
+    def _part(self, part: str) -> bytes:
+        """Ids of one pre-token, already lowered."""
+        if part not in self.parts:
+            if len(self.parts) > _MEMO_LIMIT:
+                self.parts.clear()
+            letters = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_LEVEL)
+            self.parts[part] = b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(letters)])
+        return self.parts[part]
 
     def learn(self, words: set[bytes]) -> None:
-        """Encode the unknown ones of a chunk in one call."""
+        """Encode the unknown ones of a chunk: simple ones by the model, which spares normalising and
+        splitting them, the others by the whole tokenizer in one call."""
         if len(self) > _MEMO_LIMIT:
             self.clear()
-        new = [word for word in words if word not in self]
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-        for word, encoding in zip(new, found, strict=True):
-            self[word] = np.array(encoding.ids, "<u4").tobytes()
+        others = []
+        for word in words:
+            if word not in self:
+                text = word.decode()
+                simple = _SIMPLE.fullmatch(text)
+                if simple:
+                    self[word] = self._part(simple[1].lower()) + self._part(simple[2])
+                else:
+                    others.append(text)
+        found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        for text, encoding in zip(others, found, strict=True):
+            self[text.encode()] = np.array(encoding.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of every text as little-endian uint32, chunk by chunk."""
