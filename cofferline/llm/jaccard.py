@@ -32,11 +32,13 @@ _MOST_FREQUENT = 1 << 20
 _PAIRED = 32
 #: Sets of one part of a large group; each pair of parts is one task.
 _GROUP_PART = 4096
+#: Rows of a large group are looked up under so many keys.
+_SALTS = 64
 #: Hashes of one part of a cluster; larger clusters are cut into parts, and each pair of parts is one task.
 _PART = 2_000_000
 
-_SKETCH = "doc_id bigint, n bigint, digest binary, prefix array<bigint>, bits binary"
-_SETS = "root bigint, rep bigint, n bigint, digest binary, grams binary"
+_SKETCH = "doc_id bigint, text_hash bigint, n bigint, digest binary, prefix array<bigint>, bits binary"
+_SETS = "root bigint, node bigint, digest binary, n bigint, grams binary"
 
 
 # -- sets -------------------------------------------------------------------------------------
@@ -194,7 +196,7 @@ def _sketcher(size: int, percent: int, shared):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, order = Shingler(size), Order(np.frombuffer(shared.value, np.uint64))
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, hashes, texts = batch.columns
             for at in range(0, len(texts), 1000):
                 ns, digests, firsts, ends, bits = [], [], [], [0], []
                 for text in texts.slice(at, 1000).to_pylist():
@@ -208,12 +210,13 @@ def _sketcher(size: int, percent: int, shared):
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(at, len(ns)),
+                        hashes.slice(at, len(ns)),
                         pa.array(ns, pa.int64()),
                         pa.array(digests, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                         pa.array(bits, pa.binary()),
                     ],
-                    names=["doc_id", "n", "digest", "prefix", "bits"],
+                    names=["doc_id", "text_hash", "n", "digest", "prefix", "bits"],
                 )
 
     return sketch
@@ -344,24 +347,28 @@ def _group(percent: int):
 
 def _candidates(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that join all sets between which a link is possible."""
-    first = sets.select(F.explode("prefix").alias("gram"), "n", "rep")
-    met = first.repartition("gram").sortWithinPartitions("gram", "n", "rep")
+    first = sets.select(F.explode("prefix").alias("gram"), "n", "node")
+    met = first.repartition("gram").sortWithinPartitions("gram", "n", "node")
     met = stored(met.mapInArrow(_pairer(percent), "gram bigint, a bigint, b bigint, n bigint"), "met")
-    known = sets.select("rep", "n", "bits")
+    known = sets.select("node", "n", "bits")
     pairs = (
         met.filter("b is not null")
         .select("a", "b")
         .distinct()
-        .join(known.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
-        .join(known.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
+        .join(known.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
+        .join(known.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
         .select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
         .mapInArrow(_bounded(percent), "a bigint, b bigint")
     )
     large = met.filter("b is null").select("gram", "a", "n")
     parts = large.groupBy("gram").agg(F.ceil(F.count("*") / _GROUP_PART).cast("int").alias("parts"))
-    large = large.join(parts, "gram").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
+    # only groups of several parts are looked up, and by a salt, so that none goes to one task as a whole
+    several = parts.filter("parts > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    large = large.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(_SALTS)).cast("int")).join(several, ["gram", "salt"], "left")
+    large = large.withColumn("parts", F.coalesce("parts", F.lit(1)))
+    large = large.withColumn("part", F.pmod(F.xxhash64("a", F.lit(1)), F.col("parts")).cast("int"))
     large = large.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    large = large.join(known.select(F.col("rep").alias("a"), "bits"), "a").select(
+    large = large.join(known.select(F.col("node").alias("a"), "bits"), "a").select(
         "gram", "a", "n", "part", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "bits"
     )
     joined = large.groupBy("gram", "i", "j").applyInArrow(_group(percent), "a bigint, b bigint")
@@ -450,10 +457,14 @@ class Trie:
             stack.extend((child, overlap) for child in self.children[node])
 
 
-def linked_sets(grams: list[np.ndarray], percent: int, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that join the sets to their components, none between sets that are joined already.
+def linked_sets(
+    grams: list[np.ndarray], percent: int, sides: np.ndarray | None = None, weights: np.ndarray | None = None
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that join the sets to their components, and for every set the weights of all sets it links with.
 
-    With ``sides`` only links between different sides are sought."""
+    With ``sides`` only links between different sides are sought. Without ``weights`` the walk leaves
+    out sets that are joined already, and the sums stay 0; with them it finds every link, and links
+    are summed and not kept, as there may be a square of them."""
     flat = np.concatenate(grams)
     _, names, counts = np.unique(flat, return_inverse=True, return_counts=True)
     # shared grams first, so that common beginnings are long
@@ -463,6 +474,7 @@ def linked_sets(grams: list[np.ndarray], percent: int, sides: np.ndarray | None
     sets = [np.sort(part) for part in np.split(ranks[names], ends[:-1])]
     trie, member = Trie(sets), np.zeros(len(counts), bool)
     parent, left = list(range(len(sets))), len(sets)
+    totals = np.zeros(len(sets), np.int64)
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -472,90 +484,54 @@ def linked_sets(grams: list[np.ndarray], percent: int, sides: np.ndarray | None
 
     out = []
     for number in range(len(sets)):
-        if left == 1:
+        if left == 1 and weights is None:
             break
         member[sets[number]] = True
 
         def skip(other: int, number: int = number) -> bool:
-            return sides is not None and sides[other] == sides[number] or root(other) == root(number)
+            if sides is not None and sides[other] == sides[number]:
+                return True
+            return weights is None and root(other) == root(number)
 
         for other in trie.links(number, member, percent, skip):
-            out.append((number, other))
-            parent[root(other)] = root(number)
-            left -= 1
-        member[sets[number]] = False
-    return out
-
-
-def link_counts(
-    grams: list[np.ndarray], percent: int, weights: np.ndarray, sides: np.ndarray | None = None
-) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Links that join the sets to their components, and for every set the weights of all that it links
-    with. Every pair is compared; pairs are counted and not kept, as there may be a square of them."""
-    sizes = np.array([len(own) for own in grams])
-    _, names, counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
-    holders = np.repeat(np.arange(len(grams)), sizes)[np.argsort(names, kind="stable")]
-    stop, end = np.cumsum(counts), np.cumsum(sizes)
-    at = stop - counts  # in the holders of a gram, the first set that is still to come
-    out, totals, label = [], np.zeros(len(grams), np.int64), np.arange(len(grams))
-    for number, size in enumerate(sizes.tolist()):
-        own = names[end[number] - size : end[number]]
-        at[own] += 1
-        shared = own[at[own] < stop[own]]
-        if not len(shared):
-            continue
-        later = [holders[a:b] for a, b in zip(at[shared].tolist(), stop[shared].tolist(), strict=True)]
-        overlap = np.bincount(np.concatenate(later) - number)
-        others = np.flatnonzero(overlap)
-        fit = overlap[others] >= needed(size, sizes[others + number], percent)
-        others = others[fit] + number
-        if sides is not None:
-            others = others[sides[others] != sides[number]]
-        totals[number] += weights[others].sum()
-        totals[others] += weights[number]
-        met, first = np.unique(label[others], return_index=True)
-        for own_label, other in zip(met.tolist(), others[first].tolist(), strict=True):
-            if own_label != label[number]:
+            if weights is not None:
+                totals[number] += weights[other]
+                totals[other] += weights[number]
+            if root(other) != root(number):
                 out.append((number, other))
-        if (met != label[number]).any():
-            label[np.isin(label, met)] = label[number]
+                parent[root(other)] = root(number)
+                left -= 1
+        member[sets[number]] = False
     return out, totals
 
 
 def _cluster(percent: int, counted: bool = False):
     def links(table: pa.Table) -> pa.Table:
-        roots, reps = table["root"].to_numpy(), table["rep"].to_numpy()
-        parts, wanted = table["part"].to_numpy(), table["i"].to_numpy()
-        other = table["j"].to_numpy()
-        digests = table["digest"].to_pylist()
+        roots, nodes = table["root"].to_numpy(), table["node"].to_numpy()
+        parts, wanted, other = table["part"].to_numpy(), table["i"].to_numpy(), table["j"].to_numpy()
         copies = table["copies"].to_numpy() if counted else None
-        _, sets_of = np.unique(np.array([digest.hex() for digest in digests]), return_inverse=True)
-        order = np.lexsort((sets_of, reps, roots))
+        order = np.lexsort((nodes, roots))
+        # repeated rows of one set
+        order = order[np.concatenate(([True], np.diff(nodes[order]) != 0))] if len(order) else order
         edges = np.flatnonzero(np.concatenate(([True], np.diff(roots[order]) != 0, [True])))
         grams = table["grams"].to_pylist()
         a, b, names, totals = [], [], [], []
         for start, end in zip(edges[:-1], edges[1:], strict=True):
             rows = order[start:end]
-            # repeated rows of one document; its other texts have sets of their own
-            rows = rows[np.concatenate(([True], (np.diff(reps[rows]) != 0) | (np.diff(sets_of[rows]) != 0)))]
             if len(rows) < 2:
                 continue
             sets = [np.frombuffer(grams[row], np.uint64) for row in rows]
             sides = parts[rows] if wanted[rows[0]] != other[rows[0]] else None
+            found, sums = linked_sets(sets, percent, sides, copies[rows] if counted else None)
             if counted:
-                found, sums = link_counts(sets, percent, copies[rows], sides)
-                names += [digests[row] for row in rows]
+                names += nodes[rows].tolist()
                 totals += sums.tolist()
-            else:
-                found = linked_sets(sets, percent, sides)
-            for x, y in found:
-                a.append(reps[rows[x]])
-                b.append(reps[rows[y]])
+            a += [int(nodes[rows[x]]) for x, _ in found]
+            b += [int(nodes[rows[y]]) for _, y in found]
         if not counted:
             return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
         columns = (a + [None] * len(names), b + [None] * len(names), [None] * len(a) + names, [None] * len(a) + totals)
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
-        return pa.table([pa.array(own, kind) for own, kind in zip(columns, kinds, strict=True)], names=["a", "b", "digest", "n_links"])
+        return pa.table([pa.array(own, pa.int64()) for own in columns], names=["a", "b", "node", "n_links"])
 
     return links
 
@@ -571,11 +547,11 @@ def _gatherer(size: int):
                     [
                         batch.column(0).slice(at, len(grams)),
                         batch.column(1).slice(at, len(grams)),
-                        pa.array([len(g) for g in grams], pa.int64()),
                         pa.array([_digest(g) for g in grams], pa.binary()),
+                        pa.array([len(g) for g in grams], pa.int64()),
                         pa.array([g.tobytes() for g in grams], pa.binary()),
                     ],
-                    names=["root", "rep", "n", "digest", "grams"],
+                    names=["root", "node", "digest", "n", "grams"],
                 )
 
     return sets
@@ -583,84 +559,117 @@ def _gatherer(size: int):
 
 # -- join -------------------------------------------------------------------------------------
 
-_BROADCAST_ROWS = 500_000  # of two longs each: 8 MB
 
+def _text_hash(text: str):
+    return F.xxhash64(F.col(text))
 
-def jaccard_components(
-    docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", counted: bool = False
-) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles (size of its set) and component_id, the smallest doc_id
-    that links reach from it, itself included.
 
-    Two documents link when their sets of ``shingle``-word n-grams have a Jaccard similarity of at
-    least ``percent`` hundredths. Texts with fewer words are one n-gram; null and empty texts, and
-    texts of white space, have an empty set and link with nothing. Rows that share a doc_id are one
-    document with several texts. Rows without a doc_id link with nothing and get a null component.
-    Exact copies are one set from the start, so groups of them cost nothing. An empty table gives no
-    rows.
-
-    With ``counted`` also n_links, the number of documents that link with the row's text, itself left
-    out; no link is skipped. A document with several texts counts once for each.
-    """
+def _components(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str, counted: bool) -> DataFrame:
+    """Per row doc_id, text_hash, n, component (a number, null for rows that link with nothing),
+    component_id and, with ``counted``, n_links."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), _text_hash(text).alias("text_hash"), F.col(text).alias("text"))
     frequent = frequent_grams(rows, shingle, percent)
     shared = spark.sparkContext.broadcast(frequent.tobytes())
     sketch = stored(rows.mapInArrow(_sketcher(shingle, percent, shared), _SKETCH), "sketch")
     usable = sketch.filter("n > 0 and doc_id is not null")
-    sets = (
-        usable.groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    sets = usable.groupBy("digest").agg(
+        F.min("doc_id").alias("rep"),
+        F.min_by("text_hash", "doc_id").alias("rep_hash"),
+        F.first("n").alias("n"),
+        F.first("prefix").alias("prefix"),
+        F.first("bits").alias("bits"),
     )
     if counted:
-        copies = usable.select("digest", "doc_id").distinct().groupBy("digest").agg(F.count("*").alias("copies"))
+        copies = usable.select("digest", "doc_id", "text_hash").distinct().groupBy("digest").agg(F.count("*").alias("copies"))
         sets = sets.join(copies, "digest")
-    sets = stored(sets, "sets")
+    # sets are numbered in a stored table: an id may have several texts, so it cannot stand for a set
+    sets = stored(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     clusters = smallest_reachable(_candidates(sets, percent), "a", "b")
-    clusters = stored(clusters.withColumnRenamed("node", "rep"), "clusters")
+    clusters = stored(clusters, "clusters")
     links = _links_in_clusters(rows, sets, clusters, shingle, percent, counted)
     found = smallest_reachable(links, "a", "b")
-    named = sets.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    component = named.select("digest", F.coalesce("root", "rep").alias("component_id"))
+    named = sets.join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    named = stored(named.select("digest", "node", "rep", "component", *["copies"] * counted), "named")
+    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    component = named.join(least, "component").select("digest", "component", "component_id")
     more = []
     if counted:
-        sums = links.filter("digest is not null").groupBy("digest").agg(F.sum("n_links").alias("others"))
-        own = sets.select("digest", "copies").join(sums, "digest", "left")
+        sums = links.filter("node is not null").groupBy("node").agg(F.sum("n_links").alias("others"))
+        own = named.join(sums, "node", "left")
         own = own.select("digest", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
         component = component.join(own, "digest")
         usable_row = (F.col("n") > 0) & F.col("doc_id").isNotNull()
         more = [F.when(usable_row, F.col("links")).otherwise(F.lit(0)).alias("n_links")]
-    return sketch.select("doc_id", "n", "digest").join(component, "digest", "left").select(
+    linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    return sketch.select("doc_id", "text_hash", "n", "digest").join(component, "digest", "left").select(
         "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.least("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "text_hash",
+        "n",
+        F.when(linked, F.col("component")).alias("component"),
+        F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         *more,
     )
 
 
+def jaccard_components(
+    docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", counted: bool = False
+) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles (size of its set) and component_id, the smallest doc_id
+    that links reach from it, itself included.
+
+    Two rows link when their sets of ``shingle``-word n-grams have a Jaccard similarity of at
+    least ``percent`` hundredths. Texts with fewer words are one n-gram; null and empty texts, and
+    texts of white space, have an empty set and link with nothing. Every text stands for itself: rows
+    that share a doc_id link by their texts alone, each has its own component. Rows without a doc_id
+    link with nothing and get a null component. Exact copies are one set from the start, so groups of
+    them cost nothing. An empty table gives no rows.
+
+    With ``counted`` also n_links, the number of other texts that link with the row's: distinct pairs of
+    doc_id and text, so rows that are repeated as a whole count once. No link is skipped.
+    """
+    found = _components(docs, shingle, percent, doc_id, text, counted)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", *["n_links"] * counted)
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of every group of linked rows: the smallest doc_id's, of its texts the one with the
+    smallest hash. Rows that link with nothing stay, those without a doc_id or words among them; of
+    rows with the same id and text one stays. All columns are kept as they are."""
+    found = _components(docs, shingle, percent, doc_id, text, False)
+    chosen = found.filter("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
+    kept = chosen.select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.text_hash").alias("_kept_hash"))
+    key, hashed = F.col(doc_id).cast("bigint"), _text_hash(text)
+    free = found.filter("component is null and doc_id is not null").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
+    kept = kept.unionByName(free.distinct())
+    named = docs.filter(key.isNotNull()).withColumns({"_key": key, "_hash": hashed})
+    one = named.join(kept, (F.col("_key") == F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash")), "left_semi")
+    return one.dropDuplicates(["_key", "_hash"]).select(docs.columns).unionByName(docs.filter(key.isNull()))
+
+
 def _links_in_clusters(rows: DataFrame, sets: DataFrame, clusters: DataFrame, shingle: int, percent: int, counted: bool) -> DataFrame:
-    """Links within candidate clusters, and with ``counted`` rows of (digest, n_links) as well. The sets are made again from the texts, as few are needed."""
-    members = clusters.select(F.col("rep").alias("doc_id"), "root")
-    n = members.count()
-    members = F.broadcast(members) if n <= _BROADCAST_ROWS else members
-    texts = rows.join(members, "doc_id").select("root", F.col("doc_id").alias("rep"), "text")
-    grams = texts.mapInArrow(_gatherer(shingle), _SETS)
-    # an id may have other texts besides the one that stands for its set
+    """Links within candidate clusters, and with ``counted`` rows of (node, n_links) as well. The sets are
+    made again from the texts, as few are needed."""
+    reps = clusters.join(sets.select("node", "rep", "rep_hash"), "node")
+    members = reps.select(F.col("rep").alias("doc_id"), F.col("rep_hash").alias("text_hash"), "node", "root")
+    texts = rows.join(members, ["doc_id", "text_hash"]).select("root", "node", "text")
+    grams = texts.mapInArrow(_gatherer(shingle), _SETS).drop("n")
     more = ["copies"] * counted
-    grams = grams.join(sets.select("rep", "digest", *more), ["rep", "digest"])
-    totals = clusters.join(sets.select("rep", "n"), "rep").groupBy("root").agg(F.sum("n").alias("total"))
+    # two texts of one id whose hashes clash are told apart by the set
+    grams = grams.join(sets.select("node", "digest", *more), ["node", "digest"])
+    totals = clusters.join(sets.select("node", "n"), "node").groupBy("root").agg(F.sum("n").alias("total"))
     totals = stored(totals.withColumn("parts", F.ceil(F.col("total") / _PART).cast("int")), "totals")
     whole = totals.filter("parts = 1").agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     bins = max(1, -(-2 * whole // _PART))
     placed = grams.join(totals.select("root", "parts"), "root")
-    placed = placed.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # small clusters share a task; of a large one each pair of parts is a task
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     placed = placed.withColumn(
         "bin", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(-1 - F.col("root"))
     )
     placed = placed.select(
-        "bin", "root", "rep", "part", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "grams", "digest", *more
+        "bin", "root", "node", "part", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "grams", *more
     )
-    columns = "a bigint, b bigint" + ", digest binary, n_links bigint" * counted
+    columns = "a bigint, b bigint" + ", node bigint, n_links bigint" * counted
     return stored(placed.groupBy("bin", "i", "j").applyInArrow(_cluster(percent, counted), columns), "links")

@@ -26,13 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every group of linked documents; of rows that share an id, one."""
-    found = jaccard.jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null")
-    return named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(
-        docs.filter("doc_id is null")
-    )
+    """One document of every group of linked documents, the one with the smallest doc_id."""
+    return jaccard.drop_near_copies(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
