@@ -139,6 +139,19 @@ def test_jaccard_links(spark, monkeypatch, part):
     assert {r.doc_id: r.n_links for r in got} == want and max(want.values()) > 2
 
 
+def test_texts_of_one_id(spark):
+    """Every text stands for itself; what links is told by texts, not by ids."""
+    one, other = "a b c d e f g h i j k l", "m n o p q r s t u v w x y"
+    rows = [(0, one, "x", 1), (1, one, "x", 2), (1, other, "x", 3), (5, other + " z", "x", 4), (None, one, "x", 5), (6, None, "x", 6), (6, "", "x", 7), (7, one, "x", 8), (7, one, "x", 8)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, component string, n int")
+    got = sorted((r.doc_id is None, r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in jaccard.jaccard_components(df, 2, 80, counted=True).collect())
+    assert got == sorted([(False, 0, 11, 0, 2), (False, 1, 11, 0, 2), (False, 1, 12, 1, 1), (False, 5, 13, 1, 1), (True, None, 11, None, 0), (False, 6, 0, 6, 0), (False, 6, 0, 6, 0), (False, 7, 11, 0, 2), (False, 7, 11, 0, 2)])
+    kept = jaccard.drop_near_copies(df, 2, 80)
+    assert kept.columns == df.columns
+    assert sorted((r.n for r in kept.collect())) == [1, 3, 5, 6, 7]
+    assert jaccard.drop_near_copies(df.limit(0)).count() == 0 and jaccard.jaccard_components(df.limit(0), counted=True).count() == 0
+
+
 def test_reachable(spark):
     edges = [(n, n + 1) for n in range(40)] + [(100, 102), (102, 101), (7, 7), (None, 3)]
     got = {r.node: r.root for r in smallest_reachable(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()}
@@ -222,6 +235,30 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.limit(0), df, k=5).count() == 0
 
 
+def test_neighbours_of_large_and_small_numbers(spark):
+    """Squares of these overflow or vanish, the scores of many do not."""
+    small, rows = [[1.0, 0.0], [0.5, 3.0], [0.25, 5.0]], [[0.0, 1e200], [1e-320, 0.0], [-1e-310, 1e-300], [0.0, -1e200], [1e160, 1e-160], [1e-160, 2.0]]
+    draw = np.random.default_rng(6)
+    rows = [(n, v) for n, v in enumerate(small + rows)]
+    rows += [(n, [float(x) for x in draw.normal(size=2) * 10.0 ** draw.integers(-150, 150)]) for n in range(20, 120)]
+    clash = spark.createDataFrame([(*row, 1, 2.0) for row in rows], "vec_id bigint, embedding array<double>, rank int, score double")
+    for k, size in ((2, 4096), (7, 16)):
+        got = neighbours.nearest(clash, clash, k=k, query_block=size // 4, candidate_block=size).collect()
+        for query, own in rows:
+            want = sorted((-(own[0] * v[0] + own[1] * v[1]), n) for n, v in rows if n != query)[:k]
+            mine = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == query)
+            assert [(m[1], m[2]) for m in mine] == [(n, -s) for s, n in want]
+
+
+def test_far_blocks_are_skipped():
+    def block(scale, power):
+        return {"norms": np.array([scale]), "powers": np.array([power])}
+
+    assert neighbours._skipped(block(1.0, 0), block(0.9, -10), np.array([0.1]))
+    assert not neighbours._skipped(block(1.0, 0), block(0.9, 0), np.array([0.1]))
+    assert not neighbours._skipped(block(1.0, 0), block(0.9, -1070), np.array([-1.0]))
+
+
 def test_toxicity(spark):
     rng = random.Random(9)
     words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
@@ -302,3 +339,69 @@ def test_pipeline(spark, tmp_path):
     sets = {n: grams(texts[n].text, 5) for n in got}
     near = [(a, b) for a, b in combinations(sets, 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     assert near == []
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path, encoding):
+    """Row by row against the stages restated: repeated and null ids, null, empty and copied texts."""
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))
+    fresh = lambda n: " ".join(word() for _ in range(n))
+    one, other, known = fresh(40), fresh(60), fresh(30)
+    rows = [(0, other), (1, other), (1, one), (5, one + " more"), (None, one), (None, None), (6, None), (6, ""), (7, ""), (8, " \n "), (9, "short"), (9, "short")]
+    rows += [(20, known + " " + fresh(100)), (21, fresh(900) + " " + known), (22, fresh(60) + " a.b@c.example.org")]
+    rows += [(n, fresh(rng.choice([3, 20, 80]))) for n in range(100, 140)]
+    rows += [(n, f"you idiot {fresh(20)} idiot") for n in range(200, 240)]
+    kinds = "doc_id bigint, text string, lang string, source string, n_chars bigint, _toxicity string, component string"
+    full = [(n, text, "en", "s", None if text is None else len(text), "clash", None) for n, text in rows]
+    spark.createDataFrame(full, kinds).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(n, int(n >= 200)) for n in (*range(100, 140), *range(200, 240))]
+    spark.createDataFrame(labels, "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, known), (2, None)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    left = [(n, t) for n, t in rows if n is None or n < 200]
+    # one row of each group: the smallest id, by links between texts
+    sets, parent = [grams(t, 5) if n is not None else set() for n, t in left], list(range(len(left)))
+    root = lambda x: x if parent[x] == x else root(parent[x])
+    for x, y in combinations(range(len(left)), 2):
+        if sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+            parent[root(x)] = root(y)
+    groups = {}
+    for x, (n, t) in enumerate(left):
+        # rows of one id and text are one, too, without words
+        groups.setdefault((root(x) if sets[x] else (n, t) if n is not None else x), []).append((n is None, n or 0, t))
+    left = [min(group, key=lambda r: r[:2]) for group in groups.values()]
+    left = [(None if no_id else n, t) for no_id, n, t in left]
+    # windows of 13 words of the benchmark
+    windows = {tuple(known.split()[i : i + 13]) for i in range(18)}
+
+    def clean(text):
+        words = (text or "").split()
+        hit = {p for i in range(len(words) - 12) if tuple(words[i : i + 13]) in windows for p in range(i, i + 13)}
+        return not hit or 20 * len(hit) < len(words)
+
+    left = [(n, t) for n, t in left if clean(t)]
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    masked = {n: t.replace("a.b@c.example.org", "[EMAIL]") if t else t for n, t in left}
+    assert sorted((str(r.doc_id) for r in got)) == sorted(str(n) for n, _ in left)
+    assert {20, 1} & {r.doc_id for r in got} == {1} and 21 in {r.doc_id for r in got} and all(r.round_trip for r in got)
+    texts = {tuple(r.ids) for r in got if r.doc_id == 22}
+    decoded = encoding.decode(list(texts.pop()))
+    assert "a.b@c.example.org" not in decoded and decoded.startswith(masked[22][:40])
+    plain = sorted(((r.doc_id, tuple(r.ids)) for r in got if r.doc_id is not None and r.doc_id < 22), key=key)
+    assert plain == sorted(((n, tuple(encoding.encode_ordinary(t or ""))) for n, t in left if n is not None and n < 22), key=key)
+    empty = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_simple_words_go_to_the_model_alone():
+    tokenizer_file = public_tokenizers.path("word_bpe_49k.json")
+    memory = token_files.WordMemory(open(tokenizer_file, encoding="utf-8").read())
+    tokenizer, rng = Tokenizer.from_file(tokenizer_file), random.Random(2)
+    letters = [chr(n) for n in range(0xAA, 0x100)] + list("abcXYZ0' ,.!<|>-\"\t") + ["\u0301", "\u0331", "T\u0308", "ﬁ", "각", "\u1100\u1161", "İ", "Σ", "'s", "<|endoftext|>", "\x1c", "\x85"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    for text, found in zip(texts, memory.encode(texts), strict=True):
+        assert tokenizer.encode(text, add_special_tokens=False).ids == np.frombuffer(found, "<u4").tolist(), repr(text)
