@@ -78,7 +78,8 @@ def best_of_tile(queries: dict, candidates: dict, k: int) -> list[tuple[int, int
     """The ``k`` best candidates of every query within one tile, exactly, as (query row, vec_id, score).
 
     Inner products are compared in units of the query's power times the block's largest one. Candidates
-    far smaller than that become subnormal or 0 there; an error term for this keeps the bounds true.
+    far smaller than that become subnormal or 0 there; an error term for this keeps the bounds true. Another
+    one stands for what double precision loses among the least numbers. Pairs that may overflow there survive.
     """
     dim = queries["codes"].shape[1]
     kind = np.float32 if dim * 127 * 127 < 2**24 else np.float64  # integers are exact in either
@@ -89,7 +90,13 @@ def best_of_tile(queries: dict, candidates: dict, k: int) -> list[tuple[int, int
     product *= queries["scales"][:, None] * scales[None, :]
     known = queries["norms"] + queries["errors"]
     error = queries["errors"][:, None] * norms[None, :] + known[:, None] * errors[None, :]
-    error += _SLACK * queries["norms"][:, None] * norms[None, :] + dim * 2.0**-1000
+    shift = queries["powers"] + top
+    with np.errstate(over="ignore"):
+        lost = dim * (np.ldexp(1.0, np.clip(-1074 - shift, -1100, 1100)) + 2.0**-1000)
+        limit = np.ldexp(1.0, np.clip(1023 - shift, -1100, 1100))
+    lengths = queries["norms"][:, None] * norms[None, :]
+    error += _SLACK * lengths + lost[:, None]
+    error[lengths * (1 + _SLACK) >= limit[:, None]] = np.inf
     own = queries["ids"][:, None] == candidates["ids"][None, :]
     least, most = np.where(own, -np.inf, product - error), np.where(own, -np.inf, product + error)
     least[np.isnan(least)], most[np.isnan(most)] = -np.inf, np.inf
@@ -170,7 +177,7 @@ def _skipped(queries: dict, candidates: dict, floors: np.ndarray) -> bool:
     longest = (np.log2(candidates["norms"]) + candidates["powers"]).max()
     reach = np.log2(queries["norms"]) + queries["powers"] + longest + 1e-6
     with np.errstate(divide="ignore", invalid="ignore"):
-        return bool(((floors > 1e-290) & (reach < np.log2(floors))).all())
+        return bool(((floors > 1e-290) & (floors < np.inf) & (reach < np.log2(floors))).all())
 
 
 def nearest(
