@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cofferline.operators.ranks import ordered_positions
 
@@ -44,24 +43,16 @@ def items_as_text(baskets: DataFrame, items: str = "items", separator: str = ","
     return baskets.withColumn(items, F.concat_ws(separator, F.col(items)))
 
 
-def duplicate_items(
-    df: DataFrame,
-    order: list[str],
-    owner: str = "owner",
-    item: str = "item",
-    rows_per_slice: int = 1_000_000,
-) -> DataFrame:
+def duplicate_items(df: DataFrame, order: list[str], owner: str = "owner", item: str = "item") -> DataFrame:
     """Items an owner holds more than once, with their 0-based positions in the basket.
 
     Works on the rows themselves; no basket array is built.
     """
-    placed = ordered_positions(
-        df.select(owner, item, *order), owner, [*order, item], rows_per_slice=rows_per_slice
-    )
-    copies = F.count("*").over(Window.partitionBy(owner, item))
-    ranked = placed.withColumn("count", copies).filter("count > 1")
-    joined = ranked.groupBy(owner, item, "count").agg(F.sort_array(F.collect_list("pos")).alias("_places"))
-    return joined.select(owner, item, "count", F.array_join(F.col("_places").cast("array<string>"), ",").alias("positions"))
+    placed = ordered_positions(df.select(owner, item, *order), owner, [*order, item])
+    places = F.sort_array(F.collect_list("pos")).alias("_places")
+    joined = placed.groupBy(owner, item).agg(places).filter(F.size("_places") > 1)
+    positions = F.array_join(F.col("_places").cast("array<string>"), ",").alias("positions")
+    return joined.select(owner, item, F.size("_places").cast("long").alias("count"), positions)
 
 
 def owner_count(df: DataFrame, owner: str = "owner", approximate: bool = False) -> DataFrame:

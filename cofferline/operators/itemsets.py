@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cofferline.session import broadcast_if_small, materialise
+from cofferline.operators.settree import SetTree, by_first_item, sorted_baskets
+from cofferline.session import materialise
 
-_CELLS_PER_CHUNK = 1 << 24
+_BITMAP_BYTES = 4096  # fixed: size of the bitmaps that Spark's aggregates make
+_CHUNK_BASKETS = 50_000  # baskets mined together in the two-pass operator
 
 
 def _grow(baskets: DataFrame, items: str, min_count: int) -> DataFrame:
@@ -55,44 +56,28 @@ def frequent_items(
     )
 
 
-def frequent_baskets(
+def frequent_pairs(
     holdings: DataFrame, min_support: float, owner: str = "owner", item: str = "item"
 ) -> tuple[DataFrame, DataFrame, int]:
-    """Baskets of the frequent items only, those items as (item, freq), the number of all owners.
-
-    An infrequent item is in no frequent itemset, so leaving it out before the arrays are built
-    changes nothing in the result. It bounds each array by the number of frequent items, which is
-    at most the mean basket size over ``min_support``, however much one owner holds.
-    """
+    """Distinct (owner, item) rows of the frequent items, those items as (item, freq), and the number
+    of all owners. An infrequent item is in no frequent itemset."""
     pairs = materialise(
         holdings.select(F.col(owner).alias("owner"), F.col(item).alias("item")).distinct()
     )
     n_owners = pairs.agg(F.countDistinct("owner")).first()[0]
     singles = materialise(frequent_items(pairs, n_owners * min_support))
-    keep = broadcast_if_small(singles.select("item"), singles.count())
-    baskets = (
-        pairs.join(keep, "item", "left_semi")
-        .groupBy("owner")
-        .agg(F.array_sort(F.collect_list("item")).alias("items"))
-    )
-    return baskets, singles, n_owners
+    return pairs.join(singles.select("item"), "item", "left_semi"), singles, n_owners
 
 
 def frequent_itemsets_of_holdings(
-    holdings: DataFrame,
-    min_support: float,
-    owner: str = "owner",
-    item: str = "item",
-    max_candidates: int = 200_000,
+    holdings: DataFrame, min_support: float, owner: str = "owner", item: str = "item"
 ) -> tuple[DataFrame, int]:
     """Frequent itemsets straight from (owner, item) rows, and the number of owners.
 
-    Counts level by level as ``levelwise_itemsets`` does, which suits many items of which few
-    combine; with more than ``max_candidates`` candidates in a level, pattern growth takes over.
+    Found level by level from owner bitmaps, as by ``levelwise_itemsets``; no basket array is built.
     """
-    baskets, singles, n_owners = frequent_baskets(holdings, min_support, owner, item)
-    min_count = _threshold(n_owners, min_support)
-    return _by_level(materialise(baskets), singles, min_count, max_candidates), n_owners
+    pairs, singles, n_owners = frequent_pairs(holdings, min_support, owner, item)
+    return _by_level(pairs, singles, _threshold(n_owners, min_support)), n_owners
 
 
 # -- level by level ---------------------------------------------------------------------------
@@ -131,81 +116,179 @@ def prune_candidates(candidates: DataFrame, level: DataFrame) -> DataFrame:
     )
 
 
-def count_candidates(baskets: DataFrame, candidates: list[list[str]]) -> DataFrame:
-    """Number of baskets that contain each candidate, as (items, freq).
+def owner_bitmaps(pairs: DataFrame) -> DataFrame:
+    """(items, bucket, bits): one bitmap row per item and 32768 owner numbers.
 
-    Each task counts all candidates over its own baskets, so the shuffle carries one row per
-    candidate and task, not one per basket. The candidates must be few enough to broadcast.
+    ``pairs`` are distinct (owner, item) rows. Owners are numbered in a stored table, so a repeated
+    task sees the same numbers; numbers within a partition of it follow each other.
     """
-    vocabulary = sorted({item for candidate in candidates for item in candidate})
-    place = {item: i for i, item in enumerate(vocabulary)}
-    coded = np.array([[place[item] for item in c] for c in candidates], dtype=np.int32)
-    shared = baskets.sparkSession.sparkContext.broadcast((place, coded))
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, coded = shared.value
-        totals = np.zeros(len(coded), dtype=np.int64)
-        for batch in batches:
-            lengths = batch["items"].str.len().to_numpy()
-            codes = batch["items"].explode().map(place)
-            rows = np.repeat(np.arange(len(batch)), np.maximum(lengths, 1))
-            known = codes.notna().to_numpy()
-            held = np.zeros((len(place), len(batch)), dtype=bool)
-            held[codes[known].to_numpy(dtype=np.int64), rows[known]] = True
-            step = max(_CELLS_PER_CHUNK // max(len(batch), 1), 1)
-            for start in range(0, len(coded), step):
-                chunk = coded[start : start + step]
-                both = reduce(np.logical_and, (held[column] for column in chunk.T))
-                totals[start : start + step] += both.sum(axis=1)
-        yield pd.DataFrame({"candidate": np.arange(len(coded)), "freq": totals})
-
-    counts = baskets.select("items").mapInPandas(count, "candidate long, freq long")
-    names = baskets.sparkSession.createDataFrame(
-        list(enumerate(candidates)), "candidate long, items array<string>"
-    )
+    owners = materialise(pairs.select("owner").distinct().withColumn("_no", F.monotonically_increasing_id()))
+    place = F.bitmap_bit_position(F.col("_no") + 1)
     return (
-        counts.groupBy("candidate").agg(F.sum("freq").alias("freq"))
-        .join(names, "candidate").select("items", "freq")
+        pairs.join(owners, "owner")
+        .groupBy(F.array("item").alias("items"), F.bitmap_bucket_number(F.col("_no") + 1).alias("bucket"))
+        .agg(F.bitmap_construct_agg(place).alias("bits"))
+    )
+
+
+def _common_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The owners that both bitmaps of a row hold, and their number."""
+    for batch in batches:
+        left, right = (
+            np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, _BITMAP_BYTES)
+            for name in ("_left", "_right")
+        )
+        both = left & right
+        found = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("items").take(pa.array(some)),
+                batch.column("bucket").take(pa.array(some)),
+                pa.array([row.tobytes() for row in both[some]], pa.binary()),
+                pa.array(found[some]),
+            ],
+            ["items", "bucket", "bits", "n"],
+        )
+
+
+def shared_owners(candidates: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """(items, bucket, bits, n): owners of each candidate, from the bitmaps of two of its subsets.
+
+    The subsets are those without the last and without the last but one item; both are sets of the
+    level before. Buckets without a common owner have no row.
+    """
+    stem = F.slice("items", F.lit(1), F.size("items") - 2)
+    parents = candidates.select(
+        "items",
+        F.concat(stem, F.array(F.element_at("items", -2))).alias("_first"),
+        F.concat(stem, F.array(F.element_at("items", -1))).alias("_second"),
     )
+    left = bitmaps.select(F.col("items").alias("_first"), "bucket", F.col("bits").alias("_left"))
+    right = bitmaps.select(F.col("items").alias("_second"), "bucket", F.col("bits").alias("_right"))
+    pairs = parents.join(left, "_first").join(right, ["_second", "bucket"])
+    schema = "items array<string>, bucket long, bits binary, n long"
+    return pairs.select("items", "bucket", "_left", "_right").mapInArrow(_common_owners, schema)
 
 
 def levelwise_itemsets(
-    baskets: DataFrame,
-    min_support: float,
-    items: str = "items",
-    n_baskets: int | None = None,
-    max_candidates: int = 200_000,
+    baskets: DataFrame, min_support: float, items: str = "items", n_baskets: int | None = None
 ) -> DataFrame:
     """The result of ``frequent_itemsets`` found level by level.
 
-    Candidates of a level are broadcast for counting. When a level has more than
-    ``max_candidates`` of them, the pattern-growth operator takes over and gives the same sets.
+    A level's candidates stay a table; each is counted by intersecting the owner bitmaps of two of
+    its subsets, bucket by bucket.
     """
     sets = baskets.select(F.array_distinct(items).alias("items"))
     if n_baskets is None:
         n_baskets = sets.count()
     min_count = _threshold(n_baskets, min_support)
-    singles = materialise(frequent_items(sets.select(F.explode("items").alias("item")), min_count))
-    return _by_level(sets, singles, min_count, max_candidates)
+    numbered = materialise(sets.withColumn("owner", F.monotonically_increasing_id()))
+    pairs = numbered.select("owner", F.explode("items").alias("item"))
+    singles = materialise(frequent_items(pairs, min_count))
+    return _by_level(pairs.join(singles.select("item"), "item", "left_semi"), singles, min_count)
 
 
-def _by_level(
-    sets: DataFrame, singles: DataFrame, min_count: int, max_candidates: int
-) -> DataFrame:
+def _by_level(pairs: DataFrame, singles: DataFrame, min_count: int) -> DataFrame:
+    """All levels over distinct (owner, item) rows of the frequent items."""
     found = level = singles.select(F.array("item").alias("items"), "freq")
-    most = math.isqrt(2 * max_candidates) + 1  # more items than this make too many pairs
-    names = [row["item"] for row in singles.limit(most + 1).collect()]
-    if len(names) > most:
-        return _grow(sets, "items", min_count)
-    frequent = F.lit(names).cast("array<string>")
-    kept = sets.select(F.array_intersect("items", frequent).alias("items"))
-    counted_sets = materialise(kept.filter(F.size("items") > 1))
+    bitmaps = materialise(owner_bitmaps(pairs))
     while True:
-        rows = candidate_sets(F.broadcast(level)).limit(max_candidates + 1).collect()
-        if not rows:
+        candidates = materialise(candidate_sets(level))
+        if candidates.isEmpty():
+            return found
+        shared = materialise(shared_owners(candidates, bitmaps))
+        counts = shared.groupBy("items").agg(F.sum("n").alias("freq"))
+        level = materialise(counts.filter(F.col("freq") >= min_count))
+        if level.isEmpty():
             return found
-        if len(rows) > max_candidates:
-            return _grow(kept, "items", min_count)
-        counted = count_candidates(counted_sets, [row["items"] for row in rows])
-        level = materialise(counted.filter(F.col("freq") >= min_count))
         found = found.unionByName(level)
+        bitmaps = shared.join(level.select("items"), "items", "left_semi").select("items", "bucket", "bits")
+
+
+# -- two passes -------------------------------------------------------------------------------
+
+
+def local_itemsets(baskets: list[list[str]], min_count: int) -> Iterator[tuple[str, ...]]:
+    """All sets in at least ``min_count`` of a few baskets, grown depth first from bitmaps of basket
+    numbers; a bitmap is one whole number."""
+    held: dict[str, int] = {}
+    for place, basket in enumerate(baskets):
+        for item in basket:
+            held[item] = held.get(item, 0) | 1 << place
+    first = [(item, bits) for item, bits in sorted(held.items()) if bits.bit_count() >= min_count]
+    waiting = [((), first)]
+    while waiting:
+        stem, tails = waiting.pop()
+        for place, (item, bits) in enumerate(tails):
+            found = (*stem, item)
+            yield found
+            longer = [(other, both) for other, more in tails[place + 1 :] if (both := bits & more).bit_count() >= min_count]
+            if longer:
+                waiting.append((found, longer))
+
+
+def _mine_chunk(n_rows: int, min_count: int):
+    def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        baskets = [sorted(set(basket)) for batch in batches for basket in batch.column(0).to_pylist()]
+        scaled = max(-(-min_count * len(baskets) // n_rows), 1)  # rounded up
+        names = pa.list_(pa.string())
+        waiting = []
+        for found in local_itemsets(baskets, scaled):
+            waiting.append(found)
+            if len(waiting) == 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(waiting, names)], ["items"])
+                waiting = []
+        yield pa.RecordBatch.from_arrays([pa.array(waiting, names)], ["items"])
+
+    return mine
+
+
+def _count_part(sets: pa.Table, baskets: pa.Table) -> pa.Table:
+    tree, counts = SetTree(), [0] * len(sets)
+    for number, items in enumerate(sets["items"].to_pylist()):
+        tree.add(items[1:], number)
+    if counts and len(baskets):
+        for items, place in zip(baskets["items"].to_pylist(), baskets["place"].to_pylist()):
+            for number in tree.inside(items, place + 1):
+                counts[number] += 1
+    return pa.table({"items": sets["items"], "n": pa.array(counts, pa.int64())})
+
+
+def count_itemsets(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(items, freq): how many owners of the (owner, item) rows hold each candidate, a sorted array.
+
+    Candidates form a prefix tree per first item, which the baskets that hold the item walk.
+    """
+    wanted = candidates.select(F.explode("items").alias("item")).distinct()
+    met = by_first_item(candidates.select("items"), sorted_baskets(pairs, wanted))
+    counted = met.applyInArrow(_count_part, "items array<string>, n long")
+    return counted.groupBy("items").agg(F.sum("n").alias("freq"))
+
+
+def two_pass_itemsets(
+    baskets: DataFrame,
+    min_support: float,
+    items: str = "items",
+    n_baskets: int | None = None,
+    chunks: int | None = None,
+) -> DataFrame:
+    """The result of ``frequent_itemsets`` in two passes over the baskets.
+
+    The first pass mines chunks of baskets by themselves, at the threshold scaled to their size: a
+    set that is frequent in all baskets is so in one chunk at least. The second counts the sets so
+    found in all baskets. Candidates stay a table between the passes. ``chunks`` is their number; by
+    default one holds some ten thousand baskets, as thresholds of small chunks let chance sets through.
+    """
+    distinct = F.array_sort(F.array_distinct(items)).alias("items")
+    sets = materialise(baskets.select(F.monotonically_increasing_id().alias("owner"), distinct))
+    rows = sets.count()
+    n_baskets = rows if n_baskets is None else n_baskets
+    min_count = _threshold(n_baskets, min_support)
+    if not rows:
+        return sets.select("items", F.lit(0).cast("long").alias("freq"))
+    dealt = sets.select("items").repartition(chunks or -(-rows // _CHUNK_BASKETS))
+    local = dealt.mapInArrow(_mine_chunk(rows, min_count), "items array<string>")
+    candidates = materialise(local.distinct())
+    pairs = sets.select("owner", F.explode("items").alias("item"))
+    return count_itemsets(pairs, candidates).filter(F.col("freq") >= min_count)

@@ -61,56 +61,26 @@ def hash_rank(df: DataFrame, hex_text: Column, rank: str = "pos", digits: int =
     )
 
 
-def ordered_positions(
-    df: DataFrame,
-    owner: str,
-    order: list[str],
-    position: str = "pos",
-    rows_per_slice: int = 1_000_000,
-) -> DataFrame:
-    """0-based position of each row within its owner, in the order of the given columns.
-
-    Owners with more than ``rows_per_slice`` rows are cut into slices of the first order column,
-    which must be numeric for that; slices are ranked apart and shifted by the rows before them.
+def ordered_positions(df: DataFrame, owner: str, order: list[str], position: str = "pos") -> DataFrame:
+    """0-based position of each row within its owner, in the order of the given columns, of any type.
+
+    Rows are sorted by owner and order in ranges, so a busy owner spreads over several tasks; its rows
+    in a range are shifted by those in the ranges before. Rows that tie go by a hash of all columns, by
+    which a range can end between them. The sorted rows are written once, because ids given after a
+    sort may differ between two runs of the same plan.
     """
-    lead = F.col(order[0]).cast("double")
-    big = (
-        df.groupBy(owner)
-        .agg(F.count("*").alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
-        .filter(F.col("_n") > rows_per_slice)
-        .withColumn("_slices", F.ceil(F.col("_n") / rows_per_slice))
-    )
-    share = F.try_divide(lead - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    sliced = df.join(big, owner, "left").withColumn(
-        "_slice",
-        F.coalesce(
-            F.least(F.floor(share * F.col("_slices")), F.col("_slices") - 1), F.lit(0)
-        ).cast("long"),
-    )
-    before = (
-        sliced.filter(F.col("_n").isNotNull())
-        .groupBy(owner, "_slice")
-        .agg(F.count("*").alias("_in_slice"))
-        .select(
-            owner,
-            "_slice",
-            F.sum("_in_slice")
-            .over(
-                Window.partitionBy(owner)
-                .orderBy("_slice")
-                .rowsBetween(Window.unboundedPreceding, -1)
-            )
-            .alias("_before"),
-        )
-    )
-    within = F.row_number().over(Window.partitionBy(owner, "_slice").orderBy(*order))
-    return (
-        sliced.drop("_n", "_lo", "_hi", "_slices")
-        .withColumn("_within", within)
-        .join(before, [owner, "_slice"], "left")
-        .withColumn(position, (F.col("_within") - 1 + F.coalesce("_before", F.lit(0))).cast("long"))
-        .drop("_slice", "_within", "_before")
+    tie = F.xxhash64(*df.columns)
+    rows = df.orderBy(owner, *order, tie).withColumn("_id", F.monotonically_increasing_id())
+    ids = materialise(rows.withColumn("_part", F.shiftright("_id", _ROW_BITS)))
+    spans = ids.groupBy(owner, "_part").agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(owner).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select(
+        F.col(owner).alias("_owner"),
+        F.col("_part").alias("_span"),
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
+    placed = ids.join(spans, F.col(owner).eqNullSafe(F.col("_owner")) & (F.col("_part") == F.col("_span")))
+    return placed.withColumn(position, F.col("_id") + F.col("_shift")).drop("_id", "_part", "_owner", "_span", "_shift")
 
 
 def top_per_owner(df: DataFrame, n: int, owner: str = "owner", score: str = "score", item: str = "item") -> DataFrame:

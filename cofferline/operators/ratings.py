@@ -117,3 +117,14 @@ def build_ratings(holdings: DataFrame, user: DataFrame | None = None, **columns:
     if user is not None:
         holdings = merge_user(holdings, user, columns.get("owner", "owner"))
     return as_ratings(rated_cells(holdings, **columns))
+
+
+def replaced_owners(rated: DataFrame, user: DataFrame, **columns: str) -> DataFrame:
+    """Rated cells after the rows of some owners were replaced by ``user``, holdings with numbers.
+
+    ``rated`` comes from ``rated_cells``. A cell depends on its owner's rows alone, so only the given
+    owners are aggregated; the result equals ``rated_cells`` of all holdings with those rows replaced.
+    """
+    fresh = rated_cells(user, **columns)
+    gone = user.select(F.col(columns.get("owner", "owner")).alias("owner")).distinct()
+    return rated.join(gone, "owner", "left_anti").unionByName(fresh.select(rated.columns))

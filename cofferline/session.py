@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -25,25 +25,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and read it from there afterwards.
-
-    Used for tables that several later steps read. The files live in shared storage, so a lost
-    executor costs a re-read of some files and not a rerun of the plan behind them.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _stored_root(spark: SparkSession) -> str:
+    ensure_checkpoint_dir(spark)
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    return f"{root.rstrip('/')}/cofferline-{context.applicationId}"
 
 
-BROADCAST_ROWS = 500_000
+def new_folder(spark: SparkSession) -> str:
+    """A folder that does not exist yet, in storage that all executors reach."""
+    return f"{_stored_root(spark)}/{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast of ``df`` when its counted ``rows`` allow it; else leave the join to Spark.
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet below the checkpoint folder and read it from there afterwards.
 
-    Meant for narrow tables that were written with ``materialise``: Spark has no size for them.
+    Used for tables that several later steps read. The files live in shared storage, so a lost
+    executor costs a re-read of some files and not a rerun of the plan behind them, and Spark knows
+    their size, by which it chooses joins. ``drop_stored`` removes them.
     """
-    return F.broadcast(df) if rows <= limit else df
+    folder = new_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete all tables that ``materialise`` wrote in this application. Results that still read them
+    must have been written before."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stored_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def local_session(cores: int | str = 8, app: str = "cofferline", shuffle_partitions: int = 8) -> SparkSession:
