@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from html import unescape
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +14,14 @@ TINY_TEXT = "<0.000001"
 TINY_NUMBER = 0.000001
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_QUOTED = r"""'((?:[^'\\]|\\.)*)'|"((?:[^"\\]|\\.)*)\""""
+_ELEMENT = r"""(?s)'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|[^\s,\[\]'"]++"""
+# what holds no tags, then an anchor's attributes, then one of them behind any others
+_UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+>.*?(?:</\1\s*>|\z)"
+_ANCHOR = r"""(?is)<a(?=[\s/])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+_ATTRIBUTE = (
+    r"""(?is)^(?:[\s/]++(?!{name}\s*+=)[^\s=>/"']++(?:\s*+=\s*+""" + _VALUE + r""")?+)*+[\s/]++{name}\s*+=\s*+(""" + _VALUE + ")"
+)
 
 
 def _number(text: Column) -> Column:
@@ -46,25 +57,46 @@ def contract_from_link(link: Column) -> Column:
     return F.split_part(last_path_segment(link), F.lit("?"), F.lit(1))
 
 
-def links_in_html(html: Column) -> Column:
-    """All link targets of anchors, in page order: any case, quoted either way or bare, ``&amp;`` decoded.
+def anchor_tags(html: Column) -> Column:
+    """Attribute texts of all anchor start tags in page order. Quoted values may hold any character;
+    comments, scripts and styles hold no tags."""
+    seen = F.regexp_replace(html, _UNSEEN, " ")
+    return F.regexp_extract_all(seen, F.lit(_ANCHOR), F.lit(1))
+
+
+def attribute(attributes: Column, name: str) -> Column:
+    """Value of the first attribute of that name, quoted either way or bare; null without one."""
+    value = F.regexp_extract(attributes, _ATTRIBUTE.format(name=name), 1)
+    return F.when(value != "", F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2"))
 
-    Anchors inside comments do not count."""
-    seen = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
-    whole = F.regexp_extract_all(
-        seen, F.lit(r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1)
-    )
-    return F.transform(whole, lambda link: F.replace(F.btrim(link, F.lit("\"'")), F.lit("&amp;"), F.lit("&")))
+
+def _decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for lists in batches:
+        rows = lists.to_pylist()
+        yield pa.array([row and [unescape(x) if "&" in x else x for x in row] for row in rows], pa.list_(pa.string()))
+
+
+def links_in_html(html: Column) -> Column:
+    """All link targets of anchors, in page order: any case, quoted either way or bare, character references
+    decoded. Anchors inside comments, scripts and styles do not count."""
+    column = F.col(html) if isinstance(html, str) else html
+    targets = F.transform(anchor_tags(column), lambda tag: attribute(tag, "href"))
+    return F.arrow_udf(_decoded, "array<string>")(F.filter(targets, lambda link: link.isNotNull()))
 
 
 def list_from_text(text: Column) -> Column:
-    """``['a', 'b']`` to an array; a bare string becomes a one-element array."""
-    literals = F.regexp_extract_all(text, F.lit(_QUOTED), F.lit(0))
+    """``['a', 'b']`` to an array; a bare string becomes a one-element array.
+
+    Elements without quotes, such as numbers, are kept as their text. Line breaks may stand between
+    elements and inside quotes."""
+    literals = F.regexp_extract_all(text, F.lit(_ELEMENT), F.lit(0))
     inner = F.transform(
         literals,
-        lambda q: F.regexp_replace(q.substr(F.lit(2), F.length(q) - 2), r"\\(.)", "$1"),
+        lambda q: F.when(
+            q.rlike(r"""^['"]"""), F.regexp_replace(q.substr(F.lit(2), F.length(q) - 2), r"(?s)\\(.)", "$1")
+        ).otherwise(q),
     )
-    is_literal = F.trim(text).rlike(r"""^(\[.*\]|'.*'|".*")$""")
+    is_literal = F.trim(F.translate(text, "\n\r\t", "   ")).rlike(r"""(?s)^(\[.*\]|'.*'|".*")$""")
     return F.when(is_literal, inner).when(text.isNotNull(), F.array(text))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from cofferline.operators.itemsets import frequent_itemsets_of_holdings
 from cofferline.operators.rules import (
@@ -16,6 +16,7 @@ from cofferline.operators.rules import (
 )
 from cofferline.operators.split import train_rows
 from cofferline.session import materialise
+from cofferline.sources.publish import publish, read_published
 
 
 @dataclass
@@ -49,3 +50,18 @@ def mine(
         itemset_grid(itemsets, n_owners, supports),
         rule_grid(rules, supports, confidences),
     )
+
+
+def publish_mined(mined: Mined, folder: str) -> None:
+    """Write both grids below ``folder``, one partition folder per threshold or pair of thresholds.
+
+    A repeated run replaces what was published before, as a whole."""
+    publish(mined.itemset_grid, f"{folder}/itemsets", ["min_support"])
+    publish(mined.rule_grid, f"{folder}/rules", ["min_support", "min_confidence"])
+
+
+def published_grids(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The itemset grid and the rule grid last published in ``folder``."""
+    rules = "antecedent array<string>, consequent array<string>, confidence double, lift double, support double"
+    itemsets = read_published(spark, f"{folder}/itemsets", "items array<string>, freq long, min_support double")
+    return itemsets, read_published(spark, f"{folder}/rules", f"{rules}, min_support double, min_confidence double")

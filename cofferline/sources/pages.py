@@ -9,8 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cofferline import schemas
@@ -20,6 +20,7 @@ from cofferline.functions.text import contract_from_link, last_path_segment, lin
 PORTFOLIO_TABLE_ID = "js-chain-table"
 CELLS = 6
 
+_ROWS_PER_BATCH = 10_000
 _RAW = "page_id long, url string, row_no int, cells array<string>, links array<string>"
 
 
@@ -77,39 +78,55 @@ def _rows_of(html: str, table_id: str | None, body_only: bool) -> list[list[list
 
 
 def _table_rows(table_id: str | None, body_only: bool, skip: int) -> Callable:
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+
+        def told() -> pa.RecordBatch:
+            columns = list(zip(*found, strict=True))
+            kinds = (pa.int64(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()))
+            names = ["page_id", "url", "row_no", "cells", "links"]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
         for batch in batches:
-            found = []
-            for page_id, url, html in batch[["page_id", "url", "html"]].itertuples(index=False):
+            for at in range(len(batch)):  # one page at a time, rows in chunks
+                page_id, url, html = (column[at].as_py() for column in batch.columns)
                 for number, row in enumerate(_rows_of(html, table_id, body_only)[skip:]):
-                    texts, links = [c[0].strip() for c in row], [c[1] for c in row]
-                    found.append((page_id, url, number, texts, links))
-            yield pd.DataFrame(found, columns=["page_id", "url", "row_no", "cells", "links"])
+                    found.append((page_id, url, number, [c[0].strip() for c in row], [c[1] for c in row]))
+                    if len(found) == _ROWS_PER_BATCH:
+                        yield told()
+                        found.clear()
+        if found:
+            yield told()
 
     return read
 
 
-def _raw_rows(pages: DataFrame, marker: str, reader: Callable) -> DataFrame:
-    holding = pages.select("page_id", "url", "html").filter(F.lower("html").contains(marker))
-    return holding.mapInPandas(reader, _RAW).filter(F.size("cells") >= CELLS)
+def _raw_rows(pages: DataFrame, marker: str, reader: Callable, rejects: Observation | None) -> DataFrame:
+    holding = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    rows = holding.filter(F.lower("html").contains(marker)).mapInArrow(reader, _RAW)
+    if rejects is not None:
+        rows = rows.observe(rejects, F.count("*").alias("rows"), F.count_if(F.size("cells") < CELLS).alias("short_rows"))
+    return rows.filter(F.size("cells") >= CELLS)
+
 
+def extract_accounts(pages: DataFrame, rejects: Observation | None = None) -> DataFrame:
+    """Account rows of the first table of each page; its first row is a header.
 
-def extract_accounts(pages: DataFrame) -> DataFrame:
-    """Account rows of the first table of each page; its first row is a header."""
-    rows = _raw_rows(pages, "<table", _table_rows(None, False, skip=1))
+    Rows with fewer cells than the table has columns are left out; ``rejects`` counts them, and all
+    rows, when the result is computed."""
+    rows = _raw_rows(pages, "<table", _table_rows(None, False, skip=1), rejects)
     cell = {name: F.col("cells")[i] for i, name in enumerate(schemas.ACCOUNTS.names)}
     cell["owner"] = last_path_segment(F.col("links")[1])
     return rows.select("page_id", "row_no", *[c.alias(name) for name, c in cell.items()])
 
 
-def extract_portfolios(pages: DataFrame) -> DataFrame:
+def extract_portfolios(pages: DataFrame, rejects: Observation | None = None) -> DataFrame:
     """Portfolio rows of each page; the owner is the last part of its address.
 
-    Pages without the portfolio table, or without rows in it, give no rows.
+    Pages without the portfolio table, or without rows in it, give no rows. Rows with fewer cells than
+    the table has columns are left out; ``rejects`` counts them, and all rows.
     """
-    rows = _raw_rows(
-        pages, PORTFOLIO_TABLE_ID, _table_rows(PORTFOLIO_TABLE_ID, True, skip=0)
-    )
+    rows = _raw_rows(pages, PORTFOLIO_TABLE_ID, _table_rows(PORTFOLIO_TABLE_ID, True, skip=0), rejects)
     address = last_path_segment(F.regexp_extract("url", r"(?s)^[^?#]*", 0))
     names = ["chain", "token", "portfolio_percent", "price", "amount", "value"]
     cell = {name: F.col("cells")[i] for i, name in enumerate(names)}
@@ -121,8 +138,11 @@ def extract_portfolios(pages: DataFrame) -> DataFrame:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """(page_id, pos, link, segment, contract) for every link of every page."""
-    return pages.select("page_id", F.posexplode(links_in_html(F.col("html"))).alias("pos", "link")).select(
+    """(page_id, pos, link, segment, contract) for every link of every page, character references decoded.
+
+    Pages without text give no rows."""
+    found = pages.filter("html is not null").select("page_id", links_in_html(F.col("html")).alias("_links"))
+    return found.select("page_id", F.posexplode("_links").alias("pos", "link")).select(
         "page_id",
         "pos",
         "link",
