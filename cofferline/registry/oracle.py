@@ -16,6 +16,7 @@ from cofferline.registry.spark_queries import (
     TOP,
     TYPE_SUPPORT,
 )
+from cofferline.operators.rules import CONFIDENCE_GRID, SUPPORT_GRID
 
 _HOLDINGS = """
 holdings AS (
@@ -401,6 +402,16 @@ SELECT array_to_string(items, '|') AS items, freq,
        round(freq / (SELECT n FROM total)::DOUBLE, 6) AS support FROM itemsets""",
     "frequent_brands": f"{_BRANDS} SELECT array_to_string(items, '|') AS items, freq FROM itemsets",
     "levelwise_brands": f"{_BRANDS} SELECT array_to_string(items, '|') AS items, freq FROM itemsets",
+    "two_pass_brands": f"{_BRANDS} SELECT array_to_string(items, '|') AS items, freq FROM itemsets",
+    "itemset_grid_rows": f"""WITH {_itemsets(_TYPE_PAIRS, min(SUPPORT_GRID))}
+SELECT min_support, array_to_string(items, '|') AS items, freq
+FROM itemsets JOIN {_values(SUPPORT_GRID, "min_support")} ON freq >= min_support * (SELECT n FROM total)""",
+    "rule_grid_rows": f"""{"WITH " + _itemsets(_TYPE_PAIRS, min(SUPPORT_GRID)) + _rules(min(CONFIDENCE_GRID))}
+SELECT min_support, min_confidence, array_to_string(antecedent, '|') AS antecedent,
+       array_to_string(consequent, '|') AS consequent, round(confidence, 6) AS confidence,
+       round(lift, 6) AS lift, round(support, 6) AS support
+FROM rules JOIN {_values(SUPPORT_GRID, "min_support")} ON support >= min_support
+  JOIN {_values(CONFIDENCE_GRID, "min_confidence")} ON confidence >= min_confidence""",
     "itemset_ranking": f"""{_BRANDS}
 SELECT row_number() OVER (ORDER BY freq DESC, array_to_string(items, '|')) AS pos,
        array_to_string(items, '|') AS items, freq FROM itemsets""",
@@ -470,6 +481,9 @@ SELECT owner, array_to_string(antecedent, '|') AS antecedent,
        round(lift, 6) AS lift, array_to_string(fresh, '|') AS new_items FROM matches""",
     "suggested_items": f"""WITH {_NAMES}{_matches(_PORTFOLIO_PAIRS)}
 SELECT DISTINCT owner, unnest(fresh) AS item FROM matches""",
+    "rule_suggestions": f"""WITH {_NAMES}{_matches(_PORTFOLIO_PAIRS)}
+SELECT DISTINCT owner, unnest(fresh) AS item FROM matches
+WHERE owner IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING')""",
     "rule_item_scores": f"""WITH {_NAMES}{_matches(_PORTFOLIO_PAIRS)}
 SELECT owner, item, round(score, 6) AS score FROM rule_score""",
     "blended_scores": f"""WITH {_NAMES}{_RATINGS}{_user_top(BLEND_DEPTH)}{_item_top(BLEND_DEPTH)}{_matches(_PORTFOLIO_PAIRS)}{_BLEND}
@@ -497,6 +511,17 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, link, trim(string_split(link, '/')[
 FROM lineitem JOIN part ON l_partkey = p_partkey""",
 }
 
+ORACLE["page_baskets"] = """WITH lines AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS owner, p_type AS chain, p_name AS token, l_linenumber AS line_no,
+         CASE WHEN l_returnflag <> 'N' THEN nullif(CAST(l_suppkey AS VARCHAR), CAST(l_orderkey AS VARCHAR)) END AS contract
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+  WHERE l_orderkey NOT IN (SELECT c_custkey FROM customer)
+), firsts AS (
+  SELECT owner, concat_ws('_', chain, token, contract) AS item, min(line_no) AS first FROM lines
+  WHERE NOT (chain = 'ECONOMY' AND token = 'small ring' AND contract IS NULL) GROUP BY ALL
+)
+SELECT owner, string_agg(item, '|' ORDER BY first, item) AS items FROM firsts GROUP BY owner"""
+
 # New users' values differ from the stored ones, so ratings use the changed portfolio while rules
 # were mined on the items alone, which are the same in both.
 ORACLE["recommend_new_users"] = (
@@ -507,6 +532,9 @@ ORACLE["recommend_new_users"] = (
     )
     + ")"
 )
+ORACLE["recommend_raw_users"] = ORACLE["recommend_new_users"].replace(
+    "THEN value + amount ELSE", "THEN CAST(CAST(value + amount AS DECIMAL(12,2)) AS DOUBLE) ELSE"
+)
 # The part types, which are the columns of the wide table.
 _TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 ORACLE["wide_matrix"] = (

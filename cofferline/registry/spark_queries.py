@@ -12,29 +12,33 @@ from cofferline.operators import baskets as bk
 from cofferline.operators import clean as cl
 from cofferline.operators import ratings as rt
 from cofferline.operators.baseline import Baseline, baseline
-from cofferline.operators.blend import diverse_top, rule_scores
+from cofferline.operators.blend import diverse_top
 from cofferline.operators.itemsets import (
     frequent_itemsets,
     frequent_itemsets_of_holdings,
     levelwise_itemsets,
+    two_pass_itemsets,
 )
-from cofferline.operators.match import matching_rules, new_items
+from cofferline.operators.match import best_rule_scores, matching_rules, new_items
 from cofferline.operators.predict import item_predictions, user_predictions
 from cofferline.operators.ranks import global_rank
-from cofferline.operators.rules import association_rules
+from cofferline.operators.rules import CONFIDENCE_GRID, SUPPORT_GRID, association_rules
 from cofferline.operators.similarity import cosine_pairs, neighbour_weights, top_neighbours
 from cofferline.operators.split import owner_split, with_split
 from cofferline.plans.evaluate import compare_methods
-from cofferline.plans.mining import mine
+from cofferline.plans.ingest import baskets_of_pages
+from cofferline.plans.mining import Mined, mine, publish_mined, published_grids
 from cofferline.plans.recommend import (
     blended,
     item_neighbourhood,
     recommend,
+    recommend_by_rules,
+    recommend_raw,
     stored_ratings,
     user_neighbourhood,
 )
 from cofferline.registry import views
-from cofferline.session import materialise
+from cofferline.session import materialise, new_folder
 from cofferline.sources.pages import extract_accounts, extract_portfolios, page_links
 
 TYPE_SUPPORT = 0.05
@@ -128,6 +132,11 @@ def levelwise_brands(spark: SparkSession, folder: str) -> DataFrame:
     return levelwise_itemsets(made, BRAND_SUPPORT).select(_text("items"), "freq")
 
 
+def two_pass_brands(spark: SparkSession, folder: str) -> DataFrame:
+    made = bk.make_baskets(views.customer_brands(spark, folder))
+    return two_pass_itemsets(made, BRAND_SUPPORT).select(_text("items"), "freq")
+
+
 def itemset_ranking(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = frequent_itemsets_of_holdings(views.customer_brands(spark, folder), BRAND_SUPPORT)
     ranked = global_rank(found, F.col("freq").desc(), F.array_join("items", "|"))
@@ -154,6 +163,25 @@ def rule_grid(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _published(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both grids at all thresholds, mined from part types per order, published and read back."""
+    mined: Mined = mine(views.order_types(spark, folder), SUPPORT_GRID, CONFIDENCE_GRID)
+    place = new_folder(spark)
+    publish_mined(mined, place)
+    return published_grids(spark, place)
+
+
+def itemset_grid_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _published(spark, folder)[0].select("min_support", _text("items"), "freq")
+
+
+def rule_grid_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _published(spark, folder)[1].select(
+        "min_support", "min_confidence", _text("antecedent"), _text("consequent"),
+        _round("confidence"), _round("lift"), _round("support"),
+    )
+
+
 def train_itemsets(spark: SparkSession, folder: str) -> DataFrame:
     rows = views.customer_brands(spark, folder)
     mined = mine(rows, BRAND_SUPPORTS, BRAND_CONFIDENCES, owner_split(rows, 0.2, SEED))
@@ -307,13 +335,15 @@ def suggested_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rule_item_scores(spark: SparkSession, folder: str) -> DataFrame:
-    rows = views.name_items(spark, folder)
-    return rule_scores(matching_rules(rows, _rules(rows))).select("owner", "item", _round("score"))
+    rows = materialise(views.name_items(spark, folder).select("owner", "item").distinct())
+    return best_rule_scores(rows, _rules(rows)).select("owner", "item", _round("score"))
 
 
 def _blended(spark: SparkSession, folder: str, support: float = RULE_SUPPORT) -> DataFrame:
-    rows = views.name_items(spark, folder)
-    return blended(rows, _rules(rows, support), stored_ratings(rows), k=K, depth=BLEND_DEPTH)
+    # one reading of the sources: cells of owner and item serve mining, matching and ratings
+    rated = materialise(rt.rated_cells(views.name_items(spark, folder)))
+    held = rated.select("owner", "item")
+    return blended(held, _rules(held, support), rt.as_ratings(rated), k=K, depth=BLEND_DEPTH)
 
 
 def blended_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -338,6 +368,24 @@ def recommend_new_users(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def recommend_raw_users(spark: SparkSession, folder: str) -> DataFrame:
+    rated = materialise(rt.rated_cells(views.name_items(spark, folder)))
+    rules, raw = _rules(rated.select("owner", "item")), views.raw_user_rows(spark, folder)
+    return recommend_raw(rated, rules, raw, K, TOP, BLEND_DEPTH, SEED).select(
+        "owner", "rank", "item", "pick", _round("score")
+    )
+
+
+def rule_suggestions(spark: SparkSession, folder: str) -> DataFrame:
+    """From raw rows and a rule table whose sides are list texts, as files hold them."""
+    texts = _rules(views.name_items(spark, folder))
+    for side in ("antecedent", "consequent"):
+        texts = texts.withColumn(side, text_from_list(F.col(side)))
+    for side in ("antecedent", "consequent"):
+        texts = texts.withColumn(side, list_from_text(F.col(side)))
+    return recommend_by_rules(views.raw_user_rows(spark, folder), texts)
+
+
 def split_and_rmse(spark: SparkSession, folder: str) -> DataFrame:
     found = compare_methods(views.portfolio(spark, folder), K, 0.2, 0.2, SEED)
     return found.select("method", "n", _round("rmse"))
@@ -358,6 +406,11 @@ def portfolios_from_pages(spark: SparkSession, folder: str) -> DataFrame:
     return extract_portfolios(views.portfolio_pages(spark, folder)).drop("row_no")
 
 
+def page_baskets(spark: SparkSession, folder: str) -> DataFrame:
+    pages = views.account_pages(spark, folder), views.portfolio_pages(spark, folder)
+    return bk.items_as_text(baskets_of_pages(*pages, **views.NATIVE), separator="|")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_holdings": clean_holdings,
     "parse_money": parse_money,
@@ -371,10 +424,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frequent_types": frequent_types,
     "frequent_brands": frequent_brands,
     "levelwise_brands": levelwise_brands,
+    "two_pass_brands": two_pass_brands,
     "itemset_ranking": itemset_ranking,
     "brand_rules": brand_rules,
     "itemset_grid": itemset_grid,
     "rule_grid": rule_grid,
+    "itemset_grid_rows": itemset_grid_rows,
+    "rule_grid_rows": rule_grid_rows,
     "train_itemsets": train_itemsets,
     "list_texts": list_texts,
     "split_owners": split_owners,
@@ -399,8 +455,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "blended_scores": blended_scores,
     "diverse_list": diverse_list,
     "recommend_new_users": recommend_new_users,
+    "recommend_raw_users": recommend_raw_users,
+    "rule_suggestions": rule_suggestions,
     "split_and_rmse": split_and_rmse,
     "page_links": links,
     "accounts_from_pages": accounts_from_pages,
     "portfolios_from_pages": portfolios_from_pages,
+    "page_baskets": page_baskets,
 }

@@ -124,6 +124,26 @@ def money_texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_user_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Portfolio rows of the customers of one segment as a web page would show them, all text. Their
+    values differ from the stored ones; the contract is the owner's own address."""
+
+    def grouped(number):
+        return F.regexp_replace(number.cast("decimal(12,2)").cast("string"), r"(\d)(\d{3}\.)", "$1,$2")
+
+    chosen = table(spark, folder, "customer").filter("c_mktsegment = 'BUILDING'").select("c_custkey")
+    lines = order_lines(spark, folder)
+    owner = F.col("o_custkey").cast("string")
+    return lines.join(chosen, lines["o_custkey"] == chosen["c_custkey"]).select(
+        owner.alias("owner"),
+        F.lit(None).cast("string").alias("chain"),
+        F.col("p_name").alias("token"),
+        owner.alias("contract"),
+        grouped(F.col("l_quantity")).alias("amount"),
+        F.concat(F.lit("$"), grouped(F.col("l_extendedprice") + F.col("l_quantity"))).alias("value"),
+    )
+
+
 def _cell(text):
     return F.concat(F.lit("<td> "), text, F.lit(" </td>"))
 
