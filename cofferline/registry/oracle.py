@@ -511,16 +511,21 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, link, trim(string_split(link, '/')[
 FROM lineitem JOIN part ON l_partkey = p_partkey""",
 }
 
+# lines of one order may share a number; their page lists such rows by their markup
 ORACLE["page_baskets"] = """WITH lines AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS owner, p_type AS chain, p_name AS token, l_linenumber AS line_no,
-         CASE WHEN l_returnflag <> 'N' THEN nullif(CAST(l_suppkey AS VARCHAR), CAST(l_orderkey AS VARCHAR)) END AS contract
+  SELECT CAST(l_orderkey AS VARCHAR) AS owner, p_type AS chain, p_name AS token,
+         CASE WHEN l_returnflag <> 'N' THEN nullif(CAST(l_suppkey AS VARCHAR), CAST(l_orderkey AS VARCHAR)) END AS contract,
+         row(l_linenumber, '<tr><td> ' || p_type || ' </td><td> ' || CASE WHEN l_returnflag = 'N' THEN p_name
+               ELSE '<a href="/token/' || l_suppkey || '?a=' || l_orderkey || '"><b>' || p_name || '</b></a>' END
+             || ' </td><td> 5% </td><td> $' || CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)
+             || ' </td><td> ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)) AS place
   FROM lineitem JOIN part ON l_partkey = p_partkey
   WHERE l_orderkey NOT IN (SELECT c_custkey FROM customer)
 ), firsts AS (
-  SELECT owner, concat_ws('_', chain, token, contract) AS item, min(line_no) AS first FROM lines
+  SELECT owner, concat_ws('_', chain, token, contract) AS item, min(place) AS first FROM lines
   WHERE NOT (chain = 'ECONOMY' AND token = 'small ring' AND contract IS NULL) GROUP BY ALL
 )
-SELECT owner, string_agg(item, '|' ORDER BY first, item) AS items FROM firsts GROUP BY owner"""
+SELECT owner, string_agg(item, '|' ORDER BY first) AS items FROM firsts GROUP BY owner"""
 
 # New users' values differ from the stored ones, so ratings use the changed portfolio while rules
 # were mined on the items alone, which are the same in both.
