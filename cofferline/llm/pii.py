@@ -11,8 +11,10 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -374,11 +376,14 @@ def find_in_text(text: str | None, weights: dict | None) -> list[tuple[str, int,
         return []
     out = [(*span, True) for span in base_spans(text)]
     if weights:
-        fixed = [(start, end) for _, start, end, _ in out]
+        fixed = sorted((start, end) for _, start, end, _ in out)
+        starts = [start for start, _ in fixed]
+        reached = list(accumulate((end for _, end in fixed), max, initial=0))
         for first, last in regions(text):
             for kind, start, end in decode(text[first:last], weights):
                 a, b = first + start, first + end
-                if all(b <= start_ or end_ <= a for start_, end_ in fixed):
+                # none of the base spans that begin before its end reaches behind its start
+                if reached[bisect_left(starts, b)] <= a:
                     out.append((kind, a, b, False))
         out.sort(key=lambda s: (KINDS.index(s[0]), s[1]))
     return out

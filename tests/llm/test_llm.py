@@ -408,3 +408,29 @@ def test_simple_words_go_to_the_model_alone():
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
     for text, found in zip(texts, memory.encode(texts), strict=True):
         assert tokenizer.encode(text, add_special_tokens=False).ids == np.frombuffer(found, "<u4").tolist(), repr(text)
+
+
+def test_added_spans_keep_clear_of_base_spans(field):
+    """Against a comparison of every added span with every base span, on texts where both lie close."""
+    rng = random.Random(4)
+    forms = ["a@b.co", "jo at ex dot com", "10.0.0.1", "8 . 8 . 8 . 8", "+44 20 7946 0958", "(987) 654-3210", "4111 1111 1111 1111", "12", "@", "at", " ", ", ", "."]
+    for _ in range(150):
+        text = "".join(rng.choice(forms) + rng.choice(["", " ", " x "]) for _ in range(rng.randint(1, 12)))
+        base, want = pii.base_spans(text), []
+        for first, last in pii.regions(text):
+            for kind, start, end in pii.decode(text[first:last], field):
+                if all(first + end <= s or e <= first + start for _, s, e in base):
+                    want.append((kind, first + start, first + end))
+        assert [s[:3] for s in pii.find_in_text(text, field) if not s[3]] == sorted(want, key=lambda s: (pii.KINDS.index(s[0]), s[1]))
+
+
+def test_many_addresses_take_linear_time(field):
+    import time
+
+    took = []
+    for n in (500, 2000):
+        text = " and ".join(f"a{i}.b@c{i}.example.org" for i in range(n))
+        began = time.process_time()
+        assert len(pii.find_in_text(text, field)) >= n
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0] + 0.5
