@@ -8,13 +8,12 @@ it, and so on down to single words. Sorted by their words, the edges and correct
 hold all flows as sums over common beginnings, which one pass takes; beginnings that two neighbouring
 partitions share are summed afterwards, so no node is gathered, however heavy.
 
-Before edges are made, walks are cut at rare words, through which no frequent phrase can pass. A bitmap
-of bounded size tells them; a bit that several words share makes a walk longer than needed and never
-changes a count. Nodes all of whose flow runs along one edge are compacted into it: the phrase of such
-a node lies in a longer one of the same count.
+Nodes all of whose flow runs along one edge are compacted into it: the phrase of such a node lies in a
+longer one of the same count.
 
 Words are 64-bit hashes of language and word. Whether two words share one is looked up for the whole
-vocabulary; if so, all is counted with another seed.
+vocabulary; if so, all is counted with another seed. A bounded number of the most frequent words have small
+numbers instead, which shuffles pack better.
 """
 
 from __future__ import annotations
@@ -35,12 +34,12 @@ from cofferline.llm.common import stored, values_of
 MOST_WORDS = 5
 _GRAM = [f"g{n}" for n in range(1, MOST_WORDS + 1)]
 _EDGES = ", ".join(f"{g} bigint" for g in _GRAM) + ", n bigint"
-_VOCABULARY = "lang string, word string, hash bigint, n bigint"
+_VOCABULARY = "lang string, word string, n bigint"
+_HASHED = "lang string, word string, n bigint, hash bigint"
 _CHUNK_WORDS = 2_000_000  # below 2**21: three words of a chunk fit one number
 _SAMPLE_TEXTS, _SAMPLE_STEP = 2000, 50  # where partitions begin is read from every 50th edge of some texts
 _MEMORY = 1_000_000  # hashes a task remembers
-_BITMAP_BITS = 8 * 4096  # fixed: bits of one row of Spark's bitmap aggregates
-_ROUGH_BITS = 27  # the bitmap has 2**27 bits, 16 MB
+_SHORT = 1 << 16  # words with small numbers: half a megabyte, whatever the data
 
 # fixed: separators of pieces and of words, in bytes
 _TABLE = bytearray(range(256))
@@ -55,15 +54,16 @@ _TABLE = bytes(_TABLE)
 
 
 class WordHashes(dict):
-    """64-bit hashes of the words of one language, never 0."""
+    """64-bit hashes of the words of one language, or the small numbers given for some of them."""
 
-    def __init__(self, lang: str, seed: int):
-        self.start, self.seed = lang.encode() + b"\0", seed
+    def __init__(self, lang: str, seed: int, short: dict[int, int] | None = None):
+        self.start, self.seed, self.short = lang.encode() + b"\0", seed, short or {}
 
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(self.start + word, self.seed) or 1
-        self[word] = value - (1 << 64) if value >> 63 else value
-        return self[word]
+        value = xxhash.xxh3_64_intdigest(self.start + word, self.seed)
+        value = value - (1 << 64) if value >> 63 else value
+        self[word] = value = self.short.get(value, value)
+        return value
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[list[bytes]]]]:
@@ -74,12 +74,12 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[list[
                 yield lang, [words for words in map(bytes.split, text.encode().translate(_TABLE).split(b"\n")) if words]
 
 
-def _walks(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Hashes of a chunk of words, and how many words of the piece are left at each, itself included."""
+def _walks(batches: Iterator[pa.RecordBatch], seed: int, short: dict[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of a chunk of words, and how many words of the piece are left at each, itself included."""
     memories: dict[str, WordHashes] = {}
     hashes, sizes = [], []
     for lang, pieces in _pieces(batches):
-        memory = memories.setdefault(lang, WordHashes(lang, seed))
+        memory = memories.setdefault(lang, WordHashes(lang, seed, short))
         for words in pieces:
             hashes.extend(map(memory.__getitem__, words))
             sizes.append(len(words))
@@ -98,25 +98,23 @@ def _chunk(hashes: list[int], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]
     return np.array(hashes, np.int64), ends - np.arange(len(ends))
 
 
-def _grams_at(hashes: np.ndarray, left: np.ndarray, frequent: np.ndarray, first: int, stop: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _grams_at(words: np.ndarray, left: np.ndarray, first: int, stop: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct edges and closing grams that start at the places ``first`` to ``stop``, in the order of
     their words, and how often each does."""
-    end = len(hashes) - 1
-    at = np.flatnonzero(frequent[first:stop]) + first
-    open_, columns = np.ones(len(at), bool), [hashes[at]]
-    for n in range(1, MOST_WORDS):
-        place = np.minimum(at + n, end)
-        open_ = open_ & (left[at] > n) & frequent[place]
-        columns.append(np.where(open_, hashes[place], 0))
-    # numbers in the order of the hashes, 21 bits each
-    names, numbers = np.unique(np.concatenate([*columns, np.zeros(1, np.int64)]), return_inverse=True)
-    parts = [part.astype(np.uint64) for part in np.split(numbers[:-1], MOST_WORDS)]
+    words, left = words[first : stop + MOST_WORDS - 1], left[first:stop]
+    # numbers in the order of the words, 21 bits each; the last word is the end of a gram
+    names, numbers = np.unique(np.append(words, 0), return_inverse=True)
+    numbers = numbers.astype(np.uint64)
+    none, parts = numbers[-1], []
+    for n in range(MOST_WORDS):
+        after = numbers[n : n + len(left)]
+        parts.append(np.where(left > n, np.append(after, np.full(len(left) - len(after), none)), none))
     high = parts[0] << np.uint64(42) | parts[1] << np.uint64(21) | parts[2]
     low = parts[3] << np.uint64(21) | parts[4]
     order = np.lexsort((low, high))
     new = np.concatenate(([True], (np.diff(high[order]) != 0) | (np.diff(low[order]) != 0)))[: len(order)]
     begin = np.flatnonzero(new)
-    return [column[order][begin] for column in columns], np.diff(np.append(begin, len(order)))
+    return [names[part[order[begin]].astype(np.int64)] for part in parts], np.diff(np.append(begin, len(order)))
 
 
 def _batches(columns: list[np.ndarray], names: list[str], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
@@ -127,84 +125,43 @@ def _batches(columns: list[np.ndarray], names: list[str], rows: int = 100_000) -
 # -- passes over the texts ---------------------------------------------------------------------
 
 
-def _count_words(seed: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, Counter[bytes]] = {}
-        held = 0
-
-        def told() -> Iterator[pa.RecordBatch]:
-            for lang, words in seen.items():
-                memory, names = WordHashes(lang, seed), list(words)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(names), pa.string()),
-                        pa.array([name.decode() for name in names], pa.string()),
-                        pa.array([memory[name] for name in names], pa.int64()),
-                        pa.array(words.values(), pa.int64()),
-                    ],
-                    ["lang", "word", "hash", "n"],
-                )
-
-        for lang, pieces in _pieces(batches):
-            words = seen.setdefault(lang, Counter())
-            held -= len(words)
-            words.update(chain.from_iterable(pieces))
-            held += len(words)
-            if held > _MEMORY:
-                yield from told()
-                seen, held = {}, 0
-        yield from told()
-
-    return count
-
-
-def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Place of a word in the bitmap."""
-    mixed = hashes.view(np.uint64)
-    return ((mixed ^ (mixed >> np.uint64(29))) & np.uint64((1 << bits) - 1)).astype(np.int64)
-
-
-def _marked(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
-
-
-def _bitmap(slots: DataFrame, bits: int) -> bytes:
-    """Bits of all slots; made in rows of 4 KB, so that the driver gets 2**bits bits at most."""
-    rows = (
-        slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-        .collect()
-    )
-    out = np.zeros(max(1, (1 << bits) // _BITMAP_BITS) * 4096, np.uint8)
-    for row in rows:
-        out[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(bytes(row.bits), np.uint8)
-    return out.tobytes()
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: dict[str, Counter[bytes]] = {}
+    held = 0
 
+    def told() -> Iterator[pa.RecordBatch]:
+        for lang, words in seen.items():
+            names = pa.array([name.decode() for name in words], pa.string())
+            langs = pa.array([lang] * len(words), pa.string())
+            yield pa.RecordBatch.from_arrays([langs, names, pa.array(words.values(), pa.int64())], ["lang", "word", "n"])
 
-def _slot_rows(bits: int):
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for lang, pieces in _pieces(batches):
+        words = seen.setdefault(lang, Counter())
+        held -= len(words)
+        words.update(chain.from_iterable(pieces))
+        held += len(words)
+        if held > _MEMORY:
+            yield from told()
+            seen, held = {}, 0
+    yield from told()
+
+
+def _hash_words(seed: int):
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # buckets of Spark's bitmaps begin with 1
-            yield pa.RecordBatch.from_arrays([pa.array(_slots(batch.column(0).to_numpy(), bits) + 1, pa.int64())], ["slot"])
-
-    return slots
-
+            found = [WordHashes(lang, seed)[word.encode()] for lang, word in zip(*(batch.column(n).to_pylist() for n in (0, 1)), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], ["lang", "word", "n", "hash"])
 
-def _frequent_bits(words: DataFrame, bits: int):
-    """A bitmap of the hashes of the given words, sent to all tasks."""
-    slots = words.select("hash").mapInArrow(_slot_rows(bits), "slot bigint")
-    return words.sparkSession.sparkContext.broadcast(_bitmap(slots, bits))
+    return hashed
 
 
-def _make_edges(seed: int, words, bits: int, bounds: list[tuple[int, ...]], step: int = 1):
+def _make_edges(seed: int, short, bounds: list[tuple[int, ...]], step: int = 1):
     """Edges and closing grams, and the part they belong to; with ``step``, only some, for a sample."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(words.value, np.uint8)
-        for hashes, left in _walks(batches, seed):
-            frequent = _marked(bitmap, _slots(hashes, bits))
-            for first in range(0, len(hashes), _CHUNK_WORDS):  # one text may be longer than a chunk
-                columns, n = _grams_at(hashes, left, frequent, first, first + _CHUNK_WORDS)
+        for words, left in _walks(batches, seed, short.value):
+            for first in range(0, len(words), _CHUNK_WORDS):  # one text may be longer than a chunk
+                columns, n = _grams_at(words, left, first, first + _CHUNK_WORDS)
                 if step > 1:
                     columns, n = [column[::step] for column in columns], n[::step]
                 ends = [_place(columns, bound) for bound in bounds]
@@ -223,12 +180,12 @@ def _place(columns: list[np.ndarray], bound: tuple[int, ...]) -> int:
     return low
 
 
-def _bounds(docs: DataFrame, seed: int, words, bits: int, parts: int) -> list[tuple[int, ...]]:
+def _bounds(docs: DataFrame, seed: int, short, parts: int) -> list[tuple[int, ...]]:
     """First grams of the parts but the first: quantiles of a bounded sample. They only decide how even
     the parts are."""
     share = _SAMPLE_TEXTS / max(docs.count(), 1)
     some = docs.sample(share, seed=1) if share < 1 else docs
-    edges = some.mapInArrow(_make_edges(seed, words, bits, [], _SAMPLE_STEP), f"{_EDGES}, part bigint")
+    edges = some.mapInArrow(_make_edges(seed, short, [], _SAMPLE_STEP), f"{_EDGES}, part bigint")
     table = edges.select(*_GRAM).limit(parts * 10_000).toArrow()
     rows = sorted(zip(*(table[g].to_pylist() for g in _GRAM), strict=True))
     return sorted({rows[len(rows) * n // parts] for n in range(1, parts)}) if rows else []
@@ -281,27 +238,31 @@ def _told(begin: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield from _batches([*padded.T, sums], [*_GRAM, "n"])
 
 
-def gram_counts(docs: DataFrame, least: int, seed: int, vocabulary: DataFrame, bits: int = _ROUGH_BITS) -> DataFrame:
-    """(g1..g5, n): all grams of 1 to 5 words with at least ``least`` occurrences, words as hashes and 0
-    where a gram has ended. ``docs`` has the columns lang and text, ``vocabulary`` comes from ``_vocabulary``."""
-    words = _frequent_bits(vocabulary.filter(F.col("n") >= least), bits)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = _bounds(docs, seed, words, bits, parts)
-    edges = docs.mapInArrow(_make_edges(seed, words, bits, bounds), f"{_EDGES}, part bigint")
+def gram_counts(docs: DataFrame, least: int, seed: int, short: dict[int, int]) -> DataFrame:
+    """(g1..g5, n): all grams of 1 to 5 words with at least ``least`` occurrences, words as numbers and 0
+    where a gram has ended. ``docs`` has the columns lang and text."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(short)
+    bounds = _bounds(docs, seed, shared, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    edges = docs.mapInArrow(_make_edges(seed, shared, bounds), f"{_EDGES}, part bigint")
     ordered = edges.repartitionById(len(bounds) + 1, F.col("part").cast("int")).drop("part").sortWithinPartitions(*_GRAM)
     counts = ordered.mapInArrow(_flows(least), _EDGES).groupBy(*_GRAM).agg(F.sum("n").alias("n"))
     return stored(counts.filter(F.col("n") >= least), "grams")
 
 
-def _vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(lang, word, hash, n) for all words, under the first seed that gives every word its own hash."""
-    seed = 0
+def _vocabulary(docs: DataFrame, n_short: int) -> tuple[DataFrame, int, dict[int, int]]:
+    """(lang, word, n, hash) for all words, under the first seed that gives every word a hash of its own,
+    none of them as small as the numbers of the ``n_short`` most frequent words; and those numbers."""
+    counted = docs.mapInArrow(_count_words, _VOCABULARY).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted, seed = stored(counted, "words"), 0
     while True:
-        words = docs.mapInArrow(_count_words(seed), _VOCABULARY).groupBy("lang", "word", "hash").agg(F.sum("n").alias("n"))
-        words = stored(words, "vocabulary")
-        if not words.groupBy("hash").count().filter("count > 1").limit(1).count():
-            return words, seed
+        words = stored(counted.mapInArrow(_hash_words(seed), _HASHED), "vocabulary")
+        shared = words.groupBy("hash").count().filter(f"count > 1 or hash between 0 and {n_short}")
+        if not shared.limit(1).count():
+            break
         seed += 1
+    most = words.orderBy(F.desc("n"), "hash").limit(n_short).select("hash").toArrow()["hash"].to_pylist()
+    return words, seed, {value: number for number, value in enumerate(most, 1)}
 
 
 # -- collocations ------------------------------------------------------------------------------
@@ -386,7 +347,7 @@ def collocations(
     top: int = 2000,
     text: str = "text",
     lang: str = "lang",
-    bits: int = _ROUGH_BITS,
+    short: int = _SHORT,
 ) -> DataFrame:
     """The ``top`` phrases of 2 to 5 words of every language by score: lang, rank, phrase, a, l, r, n, score.
 
@@ -397,14 +358,17 @@ def collocations(
     Ties in rank go to the larger a, then to the phrase in byte order.
 
     A null language is ``und``; null, empty and blank texts have no words; repeated rows count each; an
-    empty table gives no rows; other columns take no part. ``bits`` sets the size of the bitmap,
-    2**bits bits: a small one makes the job slower, never the result another one.
+    empty table gives no rows; other columns take no part. ``short`` is how many words get small numbers;
+    it never changes the result.
     """
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    vocabulary, seed = _vocabulary(texts)
-    grams = gram_counts(texts, least, seed, vocabulary, bits)
-    frequent = vocabulary.filter(F.col("n") >= least)
-    totals = frequent.join(vocabulary.groupBy("lang").agg(F.sum("n").alias("total")), "lang").select("hash", "lang", "total")
-    scored = stored(_scored(compacted(grams), grams, totals), "scored")
+    vocabulary, seed, numbers = _vocabulary(texts, short)
+    grams = gram_counts(texts, least, seed, numbers)
+    totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("total"))
+    # at most ``short`` rows of two numbers
+    known = F.broadcast(docs.sparkSession.createDataFrame(list(numbers.items()), "hash bigint, number bigint"))
+    frequent = vocabulary.filter(F.col("n") >= least).join(known, "hash", "left")
+    frequent = frequent.select("lang", "word", F.coalesce("number", "hash").alias("hash"))
+    scored = stored(_scored(compacted(grams), grams, frequent.join(totals, "lang").select("hash", "lang", "total")), "scored")
     best = _best(_spelled(scored, frequent), top)
     return best.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -46,13 +46,13 @@ def corpus(seed):
     return rows + rows[10:60]
 
 
-@pytest.mark.parametrize(("bits", "chunk", "top"), [(27, 2_000_000, 2000), (15, 50, 7)])
-def test_against_all_grams(spark, monkeypatch, bits, chunk, top):
+@pytest.mark.parametrize(("short", "chunk", "top"), [(1 << 16, 2_000_000, 2000), (5, 50, 7)])
+def test_against_all_grams(spark, monkeypatch, short, chunk, top):
     monkeypatch.setattr(collocations, "_CHUNK_WORDS", chunk)
     monkeypatch.setattr(collocations, "_MEMORY", 20 if chunk == 50 else 1_000_000)
-    rows = corpus(bits)
+    rows = corpus(chunk)
     df = spark.createDataFrame(rows, "lang string, text string").repartition(5).withColumn("n", F.lit("clash")).withColumn("hash", F.lit(0))
-    got = sorted(tuple(r) for r in collocations.collocations(df, least=10, top=top, bits=bits).collect())
+    got = sorted(tuple(r) for r in collocations.collocations(df, least=10, top=top, short=short).collect())
     assert got == restated(rows, 10, top) and len(got) > 15
 
 
@@ -79,20 +79,16 @@ def test_two_words_with_one_hash(spark, monkeypatch):
     """The vocabulary is made anew with another seed."""
     rows = [("en", "left right " * 20 + "up down " * 20)]
     df = spark.createDataFrame(rows, "lang string, text string")
-    usual = collocations._count_words
+    usual = collocations._hash_words
 
     def clashing(seed):
-        inner = usual(seed)
+        def hashed(batches):
+            for batch in usual(seed)(batches):
+                same = collocations.pa.array([10**6] * len(batch), collocations.pa.int64())
+                yield collocations.pa.RecordBatch.from_arrays([*batch.columns[:3], same if seed == 0 else batch.column(3)], batch.schema.names)
 
-        def count(batches):
-            for batch in inner(batches):
-                column = batch.column("hash")
-                if seed == 0:
-                    column = collocations.pa.array([5] * len(batch), collocations.pa.int64())
-                yield collocations.pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column, batch.column(3)], batch.schema.names)
+        return hashed
 
-        return count
-
-    monkeypatch.setattr(collocations, "_count_words", clashing)
-    assert collocations._vocabulary(df)[1] == 1
+    monkeypatch.setattr(collocations, "_hash_words", clashing)
+    assert collocations._vocabulary(df, 2)[1] == 1
     assert sorted(tuple(r) for r in collocations.collocations(df, least=10).collect()) == restated(rows, 10, 2000)
