@@ -15,6 +15,7 @@ from cofferline.operators.settree import SetTree, by_first_item, sorted_baskets
 from cofferline.session import materialise
 
 _BITMAP_BYTES = 4096  # fixed: size of the bitmaps that Spark's aggregates make
+_BITMAP_ROWS = 500  # rows of two bitmaps that are intersected together
 _CHUNK_BASKETS = 50_000  # baskets mined together in the two-pass operator
 
 
@@ -132,24 +133,26 @@ def owner_bitmaps(pairs: DataFrame) -> DataFrame:
 
 
 def _common_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The owners that both bitmaps of a row hold, and their number."""
+    """The owners that both bitmaps of a row hold, and their number, a few bitmaps at a time."""
     for batch in batches:
-        left, right = (
-            np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, _BITMAP_BYTES)
-            for name in ("_left", "_right")
-        )
-        both = left & right
-        found = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
-        some = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("items").take(pa.array(some)),
-                batch.column("bucket").take(pa.array(some)),
-                pa.array([row.tobytes() for row in both[some]], pa.binary()),
-                pa.array(found[some]),
-            ],
-            ["items", "bucket", "bits", "n"],
-        )
+        for first in range(0, len(batch), _BITMAP_ROWS):
+            part = batch.slice(first, _BITMAP_ROWS)
+            left, right = (
+                np.frombuffer(b"".join(part.column(name).to_pylist()), np.uint8).reshape(-1, _BITMAP_BYTES)
+                for name in ("_left", "_right")
+            )
+            both = left & right
+            found = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+            some = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("items").take(pa.array(some)),
+                    part.column("bucket").take(pa.array(some)),
+                    pa.array([row.tobytes() for row in both[some]], pa.binary()),
+                    pa.array(found[some]),
+                ],
+                ["items", "bucket", "bits", "n"],
+            )
 
 
 def shared_owners(candidates: DataFrame, bitmaps: DataFrame) -> DataFrame:
