@@ -11,16 +11,15 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cofferline.operators.settree import SetTree, by_first_item, sorted_baskets
 from cofferline.session import materialise
 
 _BITMAP_BYTES = 4096  # fixed: size of the bitmaps that Spark's aggregates make
 _BITMAP_ROWS = 500  # rows of two bitmaps that are intersected together
+_PART_SETS = 20_000  # candidates that meet the bitmaps of one bucket in one task
 _CHUNK_BASKETS = 50_000  # baskets mined together in the two-pass operator
 
 
-def _grow(baskets: DataFrame, items: str, min_count: int) -> DataFrame:
-    rows = baskets.count()
+def _grow(baskets: DataFrame, rows: int, items: str, min_count: int) -> DataFrame:
     if rows == 0:
         return baskets.sparkSession.createDataFrame([], "items array<string>, freq bigint")
     # half a basket below the threshold: the product rounds up to exactly min_count
@@ -38,12 +37,12 @@ def frequent_itemsets(
 ) -> DataFrame:
     """Frequent itemsets of basket arrays as (items, freq), items sorted.
 
-    ``n_baskets`` is the number the support refers to, the row count when not given.
+    ``n_baskets`` is the number the support refers to, the row count when not given. Baskets are written
+    once, as counting and growing read them several times.
     """
-    sets = baskets.select(F.array_distinct(items).alias("items"))
-    if n_baskets is None:
-        n_baskets = sets.count()
-    return _grow(sets, "items", _threshold(n_baskets, min_support))
+    sets = materialise(baskets.select(F.array_distinct(items).alias("items")))
+    rows = sets.count()
+    return _grow(sets, rows, "items", _threshold(rows if n_baskets is None else n_baskets, min_support))
 
 
 def frequent_items(
@@ -247,25 +246,44 @@ def _mine_chunk(n_rows: int, min_count: int):
     return mine
 
 
-def _count_part(sets: pa.Table, baskets: pa.Table) -> pa.Table:
-    tree, counts = SetTree(), [0] * len(sets)
-    for number, items in enumerate(sets["items"].to_pylist()):
-        tree.add(items[1:], number)
-    if counts and len(baskets):
-        for items, place in zip(baskets["items"].to_pylist(), baskets["place"].to_pylist()):
-            for number in tree.inside(items, place + 1):
-                counts[number] += 1
-    return pa.table({"items": sets["items"], "n": pa.array(counts, pa.int64())})
+def _count_part(sets: pa.Table, bitmaps: pa.Table) -> pa.Table:
+    """(items, n): owners of each set within one bucket, by intersecting the bitmaps of its items.
+
+    Sets are taken in their order, so those with a common beginning intersect it once."""
+    held = dict(zip(bitmaps["item"].to_pylist(), bitmaps["bits"].to_pylist()))
+    empty = np.zeros(_BITMAP_BYTES, np.uint8)
+    wanted = sorted(sets["items"].to_pylist()) if held else []
+    counts, path, common = [], [], []
+    for items in wanted:
+        shared = 0
+        while shared < min(len(path), len(items)) and path[shared] == items[shared]:
+            shared += 1
+        del path[shared:], common[shared:]
+        for item in items[shared:]:
+            bits = np.frombuffer(held[item], np.uint8) if item in held else empty
+            common.append(common[-1] & bits if common else bits)
+            path.append(item)
+        counts.append(int(np.bitwise_count(common[-1].view(np.uint64)).sum(dtype=np.int64)))
+    return pa.table({"items": pa.array(wanted, pa.list_(pa.string())), "n": pa.array(counts, pa.int64())})
 
 
 def count_itemsets(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
     """(items, freq): how many owners of the (owner, item) rows hold each candidate, a sorted array.
 
-    Candidates form a prefix tree per first item, which the baskets that hold the item walk.
+    Candidates are dealt to parts by their first two items, of some ``_PART_SETS`` each, and every part meets
+    the bitmaps of its items bucket by bucket; a bitmap takes a bit per owner, and no basket is looked at by itself.
     """
-    wanted = candidates.select(F.explode("items").alias("item")).distinct()
-    met = by_first_item(candidates.select("items"), sorted_baskets(pairs, wanted))
-    counted = met.applyInArrow(_count_part, "items array<string>, n long")
+    sets = materialise(candidates.select("items").distinct())
+    parts = max(-(-sets.count() // _PART_SETS), 1)
+    part = F.pmod(F.xxhash64(F.slice("items", 1, 2)), F.lit(parts)).cast("int")
+    sets = sets.withColumn("_part", part)
+    wanted = materialise(sets.select("_part", F.explode("items").alias("item")).distinct())
+    kept = pairs.select("owner", "item").join(wanted.select("item").distinct(), "item", "left_semi").distinct()
+    bitmaps = materialise(owner_bitmaps(kept).select(F.col("items")[0].alias("item"), "bucket", "bits"))
+    buckets = bitmaps.select(F.col("bucket").alias("bucket")).distinct()
+    left = sets.crossJoin(buckets).groupBy("_part", "bucket")
+    right = bitmaps.join(wanted, "item").groupBy("_part", "bucket")
+    counted = left.cogroup(right).applyInArrow(_count_part, "items array<string>, n long")
     return counted.groupBy("items").agg(F.sum("n").alias("freq"))
 
 
