@@ -1,5 +1,6 @@
 """What is shuffled and written follows the rows: lines are moved once by owner, and no copy of a row is made to find its nearest rows."""
 
+import random
 import re
 
 import numpy as np
@@ -7,7 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cofferline.operators import similarity
-from cofferline.operators.ratings import rated_cells
+from cofferline.operators.predict import item_scores, user_scores
+from cofferline.operators.ratings import build_ratings, rated_cells
+from cofferline.plans.evaluate import compare_methods, hold_out, rmse
+from cofferline.plans.recommend import item_neighbourhood, stored_ratings, user_neighbourhood
 
 
 def _plan(df):
@@ -101,3 +105,27 @@ def test_pairs_from_both_ends_are_summed_where_a_row_stands(spark):
     got = {(r["row"], r["other"]): r["dot"] for r in found.collect()}
     half = {("r1", "r2"): 2.125, ("r1", "r3"): -0.5, ("r2", "r3"): -0.25}
     assert got == half | {(b, a): dot for (a, b), dot in half.items()}
+
+
+def test_compared_methods_read_holdings_once(spark):
+    draw = random.Random(6)
+    rows = [(f"o{n}", draw.choice([*"abcdef", None]), float(draw.randint(1, 4)), draw.choice([1.0, 2.0, None])) for n in range(60) for _ in range(8)]
+    rows += [(None, "a", 1.0, 1.0), ("zero", "a", 0.0, 1.0), ("none", "b", None, 1.0)]
+    made = spark.createDataFrame(rows, "owner string, item string, amount double, value double")
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    got = {r["method"]: (r["n"], r["rmse"]) for r in compare_methods(made.mapInArrow(told, made.schema), 3, 0.4, 0.3, 5).collect()}
+    assert seen.value == len(rows)
+    visible, hidden = hold_out(made, 0.4, 0.3, 5)
+    wanted = hidden.select("owner", "item").distinct()
+    ratings = stored_ratings(visible)
+    actual = build_ratings(made).cells.join(wanted, ["owner", "item"], "left_semi")
+    users, items = user_neighbourhood(ratings, 3), item_neighbourhood(ratings, 3)
+    for method, scores in (("user", user_scores(wanted, ratings, users.weights, users.base)), ("item", item_scores(wanted, ratings, items.weights, items.base))):
+        row = rmse(scores, actual).first()
+        assert got[method][0] == row["n"] > 0 and got[method][1] == pytest.approx(row["rmse"], abs=1e-9)
