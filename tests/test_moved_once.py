@@ -12,6 +12,8 @@ from cofferline.operators.predict import item_scores, user_scores
 from cofferline.operators.ratings import build_ratings, rated_cells
 from cofferline.plans.evaluate import compare_methods, hold_out, rmse
 from cofferline.plans.recommend import item_neighbourhood, stored_ratings, user_neighbourhood
+from cofferline.registry import spark_queries as sq
+from cofferline.registry import views
 
 
 def _plan(df):
@@ -129,3 +131,24 @@ def test_compared_methods_read_holdings_once(spark):
     for method, scores in (("user", user_scores(wanted, ratings, users.weights, users.base)), ("item", item_scores(wanted, ratings, items.weights, items.base))):
         row = rmse(scores, actual).first()
         assert got[method][0] == row["n"] > 0 and got[method][1] == pytest.approx(row["rmse"], abs=1e-9)
+
+
+def test_new_users_read_lines_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    lines = spark.createDataFrame([(at // 3, at % 7, float(1 + at % 5), 2.0 + at % 3) for at in range(90)],
+                                  "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double")
+    tables = {
+        "lineitem": lines.mapInArrow(told, lines.schema),
+        "orders": spark.createDataFrame([(at, at % 9) for at in range(30)], "o_orderkey long, o_custkey long"),
+        "part": spark.createDataFrame([(at, "t", f"n{at}", "b") for at in range(7)], "p_partkey long, p_type string, p_name string, p_brand string"),
+        "customer": spark.createDataFrame([(at, "BUILDING" if at % 3 == 0 else "OTHER") for at in range(9)], "c_custkey long, c_mktsegment string"),
+    }
+    monkeypatch.setattr(views, "table", lambda _, __, name: tables[name])
+    assert {r["owner"] for r in sq.recommend_new_users(spark, "").collect()} <= {"0", "3", "6"}
+    assert seen.value == 90
