@@ -152,3 +152,18 @@ def test_new_users_read_lines_once(spark, monkeypatch):
     monkeypatch.setattr(views, "table", lambda _, __, name: tables[name])
     assert {r["owner"] for r in sq.recommend_new_users(spark, "").collect()} <= {"0", "3", "6"}
     assert seen.value == 90
+
+
+def test_null_keys_meet_nobody(spark):
+    rng = np.random.default_rng(2)
+    full = rng.normal(size=(12, 4))
+    rows = [(f"o{at:02d}", key, float(v)) for at, row in enumerate(full) for key, v in zip(["a", "b", "c", None], row)]
+    near = similarity.top_neighbours(spark.createDataFrame(rows, "owner string, item string, v double"), 2, "owner", "item", "v", max_fanout=3, block_cells=12)
+    unit = full / np.linalg.norm(full, axis=1, keepdims=True)
+    sims = unit[:, :3] @ unit[:, :3].T
+    np.fill_diagonal(sims, -2.0)
+    got = {(r["row"], r["rank"]): (r["other"], r["sim"]) for r in near.collect()}
+    for at in range(12):
+        for rank, to in enumerate(np.argsort(-sims[at])[:2], 1):
+            if sims[at, to] > 0:
+                assert got[f"o{at:02d}", rank] == (f"o{to:02d}", pytest.approx(sims[at, to], abs=1e-9))
